@@ -103,5 +103,5 @@ def predict_nb(
     winner = F.coalesce(
         *[F.when(F.col(name) == best, F.lit(label)) for name, label in zip(names, model.labels)]
     )
-    kept = [best.alias("score")] if scores else []
+    kept = [best.alias("best_score")] if scores else []
     return summed.select(*key, winner.alias(out), *kept)

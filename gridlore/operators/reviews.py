@@ -97,30 +97,25 @@ def user_category_stats(
 ) -> DataFrame:
     """Number of reviews, mean score and mean price for each user and category.
 
-    These are statistics over ``reviews_by_category``. Both sides are added up
-    before the join: reviews by user and title, repeated categories by title.
+    These are statistics over ``reviews_by_category``. A category that a title
+    lists more than once is joined once and weighs as often as it is listed.
     """
     measure = reviews.count() >= min_rows or categories.count() >= min_rows
-    per_title = reviews.groupBy("User_id", "Title").agg(
-        F.count("*").alias("_n"),
-        F.sum("score").alias("_score"),
-        F.count("score").alias("_scores"),
-        F.sum("Price").alias("_price"),
-        F.count("Price").alias("_prices"),
-    )
     listed = categories.groupBy("Title", "Category").agg(F.count("*").alias("_times"))
-    joined = _with_categories(per_title, listed, measure, parts, min_rows)
+    joined = _with_categories(
+        reviews.select("User_id", "Title", "score", "Price"), listed, measure, parts, min_rows
+    )
 
-    def total(name: str):
-        return F.sum(F.col(name) * F.col("_times"))
+    def weighted_mean(name: str):
+        weight = F.sum(F.when(F.col(name).isNotNull(), F.col("_times")))
+        return F.sum(F.col(name) * F.col("_times")) / weight
 
-    # try_divide: a group without any price has no mean price.
     return (
         joined.groupBy("User_id", "Category")
         .agg(
-            total("_n").alias("num_reviews"),
-            F.try_divide(total("_score"), total("_scores")).alias("avg_score"),
-            F.try_divide(total("_price"), total("_prices")).alias("avg_price"),
+            F.sum("_times").alias("num_reviews"),
+            weighted_mean("score").alias("avg_score"),
+            weighted_mean("Price").alias("avg_price"),
         )
         .where(F.col("num_reviews") >= min_reviews)
     )
