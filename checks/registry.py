@@ -168,7 +168,7 @@ def word_count(spark, sf):
 
 
 def _dictionary(spark, sf) -> DataFrame:
-    return op.build_lemma_dict(_texts(spark, sf), fx.clean_words(F.col("text")))
+    return op.build_lemma_dict(plans.review_vocabulary(given.reviews(spark, sf)))
 
 
 def build_lemma_dict(spark, sf):
@@ -188,7 +188,7 @@ def review_lemmas(spark, sf):
 
 
 def top_words(spark, sf):
-    return plans.top_lemmas(given.reviews(spark, sf), _dictionary(spark, sf))
+    return plans.top_lemmas(given.reviews(spark, sf))
 
 
 # --- models ------------------------------------------------------------------

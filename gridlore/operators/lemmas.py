@@ -7,20 +7,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlore.operators.skew import lookup
-from gridlore.operators.tokens import regroup, token_rows, word_count
+from gridlore.operators.tokens import regroup, token_rows
 
 # Endings that are taken off to find the lemma of a form.
 ENDINGS = ("s", "ed", "ing")
 
 
-def build_lemma_dict(
-    docs: DataFrame, words: Column, endings: Sequence[str] = ENDINGS
-) -> DataFrame:
+def build_lemma_dict(counts: DataFrame, endings: Sequence[str] = ENDINGS) -> DataFrame:
     """``(form, lemma)`` for each word that is another word plus an ending.
 
-    The first ending in the list that leaves a known word decides.
+    ``counts`` has each ``word`` once. The first ending in the list that leaves
+    a known word decides.
     """
-    vocabulary = word_count(docs, words, min_length=1).select("word")
+    vocabulary = counts.select("word")
     stems = [
         F.when(
             F.col("form").endswith(ending) & (F.length("form") > len(ending)),
@@ -58,15 +57,13 @@ def lemmatize(
     return regroup(lemmas, key, "lemma", out)
 
 
-def lemma_count(
-    docs: DataFrame, dictionary: DataFrame, words: Column, min_length: int = 3
-) -> DataFrame:
+def lemma_count(counts: DataFrame, dictionary: DataFrame, min_length: int = 3) -> DataFrame:
     """How often each lemma of at least ``min_length`` characters occurs.
 
-    Words are counted first, so the dictionary meets each distinct word once.
+    ``counts`` is ``(word, count)``. As the words are already counted, the
+    dictionary meets each distinct word once.
     """
-    counts = word_count(docs, words, min_length=1).withColumnRenamed("word", "form")
-    lemmas = counts.join(dictionary, "form", "left")
+    lemmas = counts.withColumnRenamed("word", "form").join(dictionary, "form", "left")
     return (
         lemmas.select(F.coalesce("lemma", "form").alias("word"), "count")
         .where(F.length("word") >= min_length)

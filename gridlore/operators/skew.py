@@ -15,8 +15,7 @@ from gridlore.sources.shared import materialize
 HOT_PARTS = 1024
 # A key with fewer rows than this is never worth splitting.
 HOT_ROWS = 100_000
-# A table up to this many rows and bytes of text is broadcast to every
-# executor.
+# A table of up to this many rows and bytes is broadcast to every executor.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -40,9 +39,11 @@ def hot_keys(
     return large.select(*keys, F.ceil(share).cast("bigint").alias("slices"))
 
 
-def _found_hot_keys(df, keys, parts, min_rows, name) -> DataFrame | None:
+def _found_hot_keys(
+    df: DataFrame, keys: Sequence[str], parts: int, min_rows: int
+) -> DataFrame | None:
     hot = materialize(hot_keys(df, keys, parts, min_rows), "hot")
-    return None if hot.isEmpty() else F.broadcast(hot.withColumnRenamed("slices", name))
+    return None if hot.isEmpty() else F.broadcast(hot)
 
 
 def _row_slice(columns: Sequence[str], slices: Column) -> Column:
@@ -68,9 +69,9 @@ def salted_join(
     """Equi-join on ``keys``, hot keys split over many tasks.
 
     The left rows of a hot key are cut into slices, and its right rows go to
-    each slice. In an inner join the right side is cut the same way. The other
-    column names of the two sides must differ, and the result has the keys
-    once. ``how`` is ``inner``, ``left`` or ``left_semi``.
+    each slice. In an inner join the right side is cut the same way. In a left
+    join, rows without a key are spread out. The other column names of the two
+    sides must differ, and the result has the keys once. ``how`` is ``inner``, ``left`` or ``left_semi``.
 
     The hot keys are counted when this is called. Without hot keys the result
     is an ordinary join. ``measure=False`` skips the counting, for inputs that
@@ -79,29 +80,31 @@ def salted_join(
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join: {how}")
     keys = list(keys)
-    cut = []
-    if measure:
-        cut.append((_found_hot_keys(left, keys, parts, min_rows, "_slices"), True))
-        if how == "inner":
-            cut.append((_found_hot_keys(right, keys, parts, min_rows, "_slices"), False))
-
     matched = list(keys)
     left_columns, right_columns = left.columns, right.columns
-    for number, (hot, cut_left) in enumerate(cut):
-        if hot is None:
-            continue
-        salt = f"_salt{number}"
-        slices = F.coalesce("_slices", F.lit(1).cast("bigint"))
-        if how == "left":
-            # A NULL key joins nothing, so its rows may go anywhere.
-            anywhere = F.when(_no_nulls(keys), slices).otherwise(F.lit(parts).cast("bigint"))
+    one = F.lit(1).cast("bigint")
+
+    hot = _found_hot_keys(left, keys, parts, min_rows) if measure else None
+    hot_right = None
+    if measure and how == "inner":
+        hot_right = _found_hot_keys(right, keys, parts, min_rows)
+    if hot is not None or (measure and how == "left"):
+        if hot is not None:
+            left, right = left.join(hot, keys, "left"), right.join(hot, keys, "left")
+            slices = F.coalesce("slices", one)
         else:
-            anywhere = slices
-        left_salt = _row_slice(left_columns, anywhere) if cut_left else _every_slice(slices)
-        right_salt = _every_slice(slices) if cut_left else _row_slice(right_columns, slices)
-        left = left.join(hot, keys, "left").withColumn(salt, left_salt).drop("_slices")
-        right = right.join(hot, keys, "left").withColumn(salt, right_salt).drop("_slices")
-        matched.append(salt)
+            slices = one
+        # A NULL key joins nothing, so its rows may go anywhere.
+        cuts = F.when(_no_nulls(keys), slices).otherwise(F.lit(parts).cast("bigint"))
+        left = left.withColumn("_salt_left", _row_slice(left_columns, cuts)).drop("slices")
+        right = right.withColumn("_salt_left", _every_slice(slices)).drop("slices")
+        matched.append("_salt_left")
+    if hot_right is not None:
+        left, right = left.join(hot_right, keys, "left"), right.join(hot_right, keys, "left")
+        slices = F.coalesce("slices", one)
+        left = left.withColumn("_salt_right", _every_slice(slices)).drop("slices")
+        right = right.withColumn("_salt_right", _row_slice(right_columns, slices)).drop("slices")
+        matched.append("_salt_right")
 
     renamed = {name: f"_other_{name}" for name in matched}
     right = right.withColumnsRenamed(renamed)
@@ -117,7 +120,8 @@ def fits_broadcast(
 ) -> bool:
     """Measure a table: is it small enough for every executor to hold?"""
     texts = [name for name, kind in table.dtypes if kind == "string"]
-    width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(0))
+    fixed = F.lit(8 * (len(table.columns) + 1))
+    width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), fixed)
     rows, size = table.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 

@@ -1,5 +1,10 @@
 """Whole reports, put together from the operators."""
-from gridlore.plans.annotations import annotate_reviews, review_lemmas, top_lemmas
+from gridlore.plans.annotations import (
+    annotate_reviews,
+    review_lemmas,
+    review_vocabulary,
+    top_lemmas,
+)
 from gridlore.plans.sentiment import (
     predict_sentiment,
     sentiment_words,
@@ -9,6 +14,6 @@ from gridlore.plans.sentiment import (
 )
 
 __all__ = [
-    "annotate_reviews", "review_lemmas", "top_lemmas", "predict_sentiment",
-    "sentiment_words", "title_sentiment", "title_stats", "train_sentiment",
+    "annotate_reviews", "review_lemmas", "review_vocabulary", "top_lemmas",
+    "predict_sentiment", "sentiment_words", "title_sentiment", "title_stats", "train_sentiment",
 ]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from gridlore.functions.stopwords import ENGLISH_STOP_WORDS
 from gridlore.functions.words import clean_words, remove_stopwords, tokenize
 from gridlore.operators.bayes import NaiveBayes, predict_nb
-from gridlore.operators.lemmas import lemma_count, lemmatize, top_words
+from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize, top_words
 from gridlore.operators.tagging import Tagger, tag_tokens
+from gridlore.operators.tokens import word_count
 from gridlore.plans.sentiment import predict_sentiment
 
 
@@ -27,10 +28,29 @@ def review_lemmas(
     return lemmatize(texts, dictionary, key, content_words(F.col("text")), **limits)
 
 
-def top_lemmas(reviews: DataFrame, dictionary: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` most frequent lemmas of more than two characters."""
+def review_vocabulary(reviews: DataFrame) -> DataFrame:
+    """``(word, count)`` for the normalized words of all reviews."""
     texts = reviews.where(F.col("text").isNotNull())
-    return top_words(lemma_count(texts, dictionary, content_words(F.col("text"))), k)
+    return word_count(texts, clean_words(F.col("text")), min_length=1)
+
+
+def top_lemmas(
+    reviews: DataFrame,
+    dictionary: DataFrame | None = None,
+    k: int = 20,
+    stopwords: Sequence[str] = ENGLISH_STOP_WORDS,
+) -> DataFrame:
+    """The ``k`` most frequent lemmas of more than two characters.
+
+    Without a dictionary one is built from the reviews themselves. Stop words
+    are taken out after counting, so that both use the same counts and the
+    texts are read once.
+    """
+    counts = review_vocabulary(reviews)
+    if dictionary is None:
+        dictionary = build_lemma_dict(counts)
+    content = counts.where(~F.col("word").isin(*sorted({word.lower() for word in stopwords})))
+    return top_words(lemma_count(content, dictionary), k)
 
 
 def annotate_reviews(
