@@ -19,7 +19,7 @@ def _listed(df: DataFrame, key: Sequence[str], array: str, value: str) -> DataFr
 
 
 def _texts(spark, sf) -> DataFrame:
-    return given.reviews(spark, sf).where(F.col("text").isNotNull())
+    return given.review_texts(spark, sf).where(F.col("text").isNotNull())
 
 
 # --- sources -----------------------------------------------------------------
@@ -76,7 +76,8 @@ def view_sql_preview(spark, sf):
 
 
 def sample_reviews(spark, sf):
-    return sources.sample_rows(_texts(spark, sf).select("Id", "text"), 100, "Id")
+    texts = given.reviews(spark, sf).where(F.col("text").isNotNull())
+    return sources.sample_rows(texts.select("Id", "text"), 100, "Id")
 
 
 # --- proximity ---------------------------------------------------------------
@@ -168,7 +169,7 @@ def word_count(spark, sf):
 
 
 def _dictionary(spark, sf) -> DataFrame:
-    return op.build_lemma_dict(plans.review_vocabulary(given.reviews(spark, sf)))
+    return op.build_lemma_dict(plans.review_vocabulary(given.review_texts(spark, sf)))
 
 
 def build_lemma_dict(spark, sf):
@@ -184,18 +185,18 @@ def lemmatize(spark, sf):
 
 def review_lemmas(spark, sf):
     dictionary = sources.materialize(_dictionary(spark, sf), "lemmas")
-    return _listed(plans.review_lemmas(given.reviews(spark, sf), dictionary), ["Id"], "result", "lemma")
+    return _listed(plans.review_lemmas(given.review_texts(spark, sf), dictionary), ["Id"], "result", "lemma")
 
 
 def top_words(spark, sf):
-    return plans.top_lemmas(given.reviews(spark, sf))
+    return plans.top_lemmas(given.review_texts(spark, sf))
 
 
 # --- models ------------------------------------------------------------------
 
 def _language_model(spark, sf):
     words = fx.clean_words(F.col("text"))
-    return op.train_nb(given.table(spark, sf, "documents"), "lang", words)
+    return op.train_nb(given.documents(spark, sf), "lang", words)
 
 
 def train_language(spark, sf):
@@ -210,7 +211,7 @@ def detect_language(spark, sf):
 
 def detect_turn_language(spark, sf):
     words = fx.clean_words(F.col("text"))
-    turns = given.table(spark, sf, "conversations")
+    turns = given.turns(spark, sf)
     model = _language_model(spark, sf)
     return op.predict_nb(turns, model, ["conv_id", "turn"], words, "language", scores=True)
 
@@ -224,7 +225,7 @@ def train_sentiment(spark, sf):
 
 
 def predict_sentiment(spark, sf):
-    return plans.predict_sentiment(given.reviews(spark, sf), _sentiment_model(spark, sf))
+    return plans.predict_sentiment(given.review_texts(spark, sf), _sentiment_model(spark, sf))
 
 
 def _tagger(spark, sf):
@@ -236,7 +237,7 @@ def train_tagger(spark, sf):
 
 
 def tag_tokens(spark, sf):
-    turns = given.table(spark, sf, "conversations")
+    turns = given.turns(spark, sf)
     words = fx.tokenize(F.col("text"))
     tags = op.tag_tokens(turns, _tagger(spark, sf), ["conv_id", "turn"], words)
     return _listed(tags, ["conv_id", "turn"], "pos_tags", "tag")
@@ -246,7 +247,7 @@ def tag_tokens(spark, sf):
 
 def annotate_reviews(spark, sf):
     notes = plans.annotate_reviews(
-        given.reviews(spark, sf),
+        given.review_texts(spark, sf),
         _sentiment_model(spark, sf),
         _language_model(spark, sf),
         _tagger(spark, sf),
@@ -255,11 +256,11 @@ def annotate_reviews(spark, sf):
 
 
 def title_sentiment(spark, sf):
-    return plans.title_sentiment(given.reviews(spark, sf), _sentiment_model(spark, sf))
+    return plans.title_sentiment(given.review_texts(spark, sf), _sentiment_model(spark, sf))
 
 
 def title_sentiment_counting_null(spark, sf):
-    reviews = given.reviews(spark, sf)
+    reviews = given.review_texts(spark, sf)
     return plans.title_sentiment(reviews, _sentiment_model(spark, sf), null_title="count")
 
 

@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlore.functions import tokenize
+from gridlore.sources import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, ready for work on their texts."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+
+
 def people_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
@@ -36,8 +46,17 @@ def connected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_reviews(table(spark, sf_dir, "documents"))
+
+
+def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews, ready for work on their texts."""
+    return _as_reviews(documents(spark, sf_dir))
+
+
+def _as_reviews(documents: DataFrame) -> DataFrame:
     key = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         key.alias("Id"),
         F.when(key % 50 != 7, F.col("source")).alias("Title"),
         F.when(key % 3 != 0, (F.col("n_chars") % 5000).cast("double") / 100.0).alias("Price"),
@@ -66,10 +85,10 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("quality") == 1, "positive").otherwise("negative")
     labels = table(spark, sf_dir, "labels").select("doc_id", label.alias("label"))
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    return documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.explode(tokenize(F.col("text"))).alias("token"), F.col("lang").alias("tag")
     )

@@ -16,11 +16,13 @@ NEGATORS = (
     "hasnt", "havent", "isnt", "mustnt", "shouldnt", "wasnt", "werent", "wont",
     "wouldnt",
 )
+_ENDS = "[.,;:!?]"
+_OPEN = "\x01"
 NOT_LETTERS = r"[^\pL+]"
 
 
 def _present(words: Column) -> Column:
-    return F.filter(words, lambda word: word != "")
+    return F.array_remove(words, "")
 
 
 def tokenize(text: Column, pattern: str = r"\s+") -> Column:
@@ -64,27 +66,32 @@ def mark_negation(
     each negator, itself kept as it is, switches negation on or off for the
     words after it. ``drop_words`` are left out afterwards, negated or not.
     """
-    spaced = F.regexp_replace(text, r"\s+", " ")
-    segmented = F.regexp_replace(spaced, r"[.,;:!?](?= |\z)", "\n")
-    cleaned = F.lower(F.regexp_replace(segmented, r"[^\pL+ \n]+", ""))
-    # Each piece after the first starts with the negator that opens it, so the
-    # odd ones are negated. Splitting keeps the work linear in the text.
-    before_negator = rf"(?<= )(?=(?:{'|'.join(negators)}) )"
-    dropped = sorted(set(drop_words))
-
-    def words_of(piece: Column, number: Column) -> Column:
-        words = _present(F.split(piece, " +"))
-
-        def mark(word: Column, place: Column) -> Column:
-            negated = (number % 2 == 1) & (place > 0)
-            marked = F.when(negated, F.concat(F.lit("not_"), word)).otherwise(word)
-            return F.when(~word.isin(*dropped), marked) if dropped else marked
-
-        return F.transform(words, mark)
-
-    def segment_words(segment: Column) -> Column:
-        padded = F.concat(F.lit(" "), segment, F.lit(" "))
-        return F.flatten(F.transform(F.split(padded, before_negator), words_of))
-
-    words = F.flatten(F.transform(F.split(cleaned, "\n"), segment_words))
-    return F.filter(words, lambda word: word.isNotNull())
+    # Keep letters, blanks, and the marks at the end of a token.
+    kept = F.regexp_replace(text, rf"[^\pL+\s]*({_ENDS})(?=\s|\z)|[^\pL+\s]+", "$1")
+    opened = F.regexp_replace(
+        F.concat(F.lit(" "), F.lower(kept)),
+        rf"(?<=\s)(?=(?:{'|'.join(negators)})(?:\s|{_ENDS}|\z))",
+        _OPEN,
+    )
+
+    def mark_piece(piece: Column, number: Column) -> Column:
+        # A piece after the first starts with the negator that opens it. The
+        # words after the negator are negated in every other piece.
+        marked = F.regexp_replace(piece, r"(?<=\s)(?=\S)", "not_")
+        return F.when(number % 2 == 1, marked).otherwise(piece)
+
+    def mark_segment(segment: Column) -> Column:
+        marked = F.array_join(F.transform(F.split(segment, _OPEN), mark_piece), "")
+        return F.when(segment.contains(_OPEN), marked).otherwise(segment)
+
+    def mark_text(whole: Column) -> Column:
+        segments = F.transform(F.split(whole, _ENDS), mark_segment)
+        return F.when(whole.contains(_OPEN), F.array_join(segments, " ")).otherwise(whole)
+
+    # One-element arrays, so that the text is worked out once and used twice.
+    marked = F.transform(F.array(opened), mark_text)[0]
+    words = _present(F.split(marked, rf"(?:\s|{_ENDS})+"))
+    if not drop_words:
+        return words
+    dropped = sorted({prefix + word for word in drop_words for prefix in ("", "not_")})
+    return F.filter(words, lambda word: ~word.isin(*dropped))

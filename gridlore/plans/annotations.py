@@ -13,11 +13,13 @@ from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize,
 from gridlore.operators.tagging import Tagger, tag_tokens
 from gridlore.operators.tokens import word_count
 from gridlore.plans.sentiment import predict_sentiment
+from gridlore.sources.shared import materialize
 
 
 def content_words(text: Column, stopwords: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     """Normalized words of a text without stop words."""
-    return remove_stopwords(clean_words(text), stopwords)
+    lowered = [word.lower() for word in stopwords]
+    return remove_stopwords(clean_words(text), lowered, case_sensitive=True)
 
 
 def review_lemmas(
@@ -42,11 +44,10 @@ def top_lemmas(
 ) -> DataFrame:
     """The ``k`` most frequent lemmas of more than two characters.
 
-    Without a dictionary one is built from the reviews themselves. Stop words
-    are taken out after counting, so that both use the same counts and the
-    texts are read once.
+    Without a dictionary one is built from the reviews themselves. The words
+    are counted once, into a written table, for the dictionary and the result.
     """
-    counts = review_vocabulary(reviews)
+    counts = materialize(review_vocabulary(reviews), "vocabulary")
     if dictionary is None:
         dictionary = build_lemma_dict(counts)
     content = counts.where(~F.col("word").isin(*sorted({word.lower() for word in stopwords})))

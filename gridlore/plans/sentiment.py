@@ -22,10 +22,11 @@ def sentiment_words(
     Negation is marked before stop words go, since the stop words include the
     negators. ``negation=False`` takes the plain words.
     """
+    lowered = [word.lower() for word in stopwords]
     if negation:
-        words = mark_negation(text, negators, [word.lower() for word in stopwords])
+        words = mark_negation(text, negators, lowered)
     else:
-        words = remove_stopwords(clean_words(text), stopwords)
+        words = remove_stopwords(clean_words(text), lowered, case_sensitive=True)
     return F.array_distinct(words)
 
 

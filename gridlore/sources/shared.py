@@ -47,3 +47,16 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     numbers may change when rows are computed again.
     """
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Use all cores for an input that comes in fewer pieces than there are.
+
+    Work on text is heavy for its size, so a few large pieces are worth a
+    shuffle. An input that already keeps all cores busy is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # Only asks how many pieces there are; no rows are read.
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *key)
