@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlore.operators.skew import lookup
+from gridlore.operators.tokens import copies, group_columns, repeat_copies, token_rows
 from gridlore.sources.shared import materialize
 
 SCALE = 1_000_000
@@ -78,30 +79,48 @@ def train_nb(docs: DataFrame, label: str, words: Column) -> NaiveBayes:
 def predict_nb(
     docs: DataFrame,
     model: NaiveBayes,
-    key: Sequence[str],
+    keep: Sequence[str],
     words: Column,
     out: str = "label",
     scores: bool = False,
+    copies_as: str | None = None,
+    by: Sequence[str] | None = None,
     **limits: int,
 ) -> DataFrame:
-    """``(*key, out)`` with the likeliest label of each text.
-
-    ``key`` must tell the texts apart; it may hold more columns to keep. Words
-    that were not seen in training do not count, a text without known words
-    gets the commonest label, and equal scores go to the first label.
+    """``(*keep, out)`` with the likeliest label of each text.
+
+    Words that were not seen in training do not count, a text without known
+    words gets the commonest label, and equal scores go to the first label.
+    ``scores`` adds the winning score. There is one row for each text; with
+    ``copies_as`` texts that are copies share one row, their number in the
+    column of that name. ``by`` is explained at ``group_columns``; with it,
+    those columns are kept and no others.
     """
-    rows = docs.select(*key, F.explode_outer(words).alias("w"))
-    weighed = lookup(rows, model.weights, ["w"], **limits)
-    names = [f"score_{i}" for i in range(len(model.labels))]
-    summed = weighed.groupBy(*key).agg(
+    if by is not None:
+        keep = []
+    rows = token_rows(docs, keep, words, by)
+    weighed = lookup(rows, model.weights.withColumnRenamed("w", "token"), ["token"], **limits)
+    names = [f"_score_{i}" for i in range(len(model.labels))]
+    summed = weighed.groupBy(*group_columns(keep, by)).agg(
+        copies().alias("_copies"),
+        *[F.coalesce(F.sum(f"weight_{i}"), F.lit(0)).alias(name) for i, name in enumerate(names)],
+    )
+    # Copies add up to a multiple of the score of one text.
+    keep = keep if by is None else by
+    scored = summed.select(
+        *keep,
+        "_copies",
         *[
-            (F.coalesce(F.sum(f"weight_{i}"), F.lit(0)) + F.lit(prior)).alias(name)
-            for i, (prior, name) in enumerate(zip(model.priors, names))
-        ]
+            (F.expr(f"{name} div _copies") + F.lit(prior)).alias(name)
+            for prior, name in zip(model.priors, names)
+        ],
     )
     best = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     winner = F.coalesce(
         *[F.when(F.col(name) == best, F.lit(label)) for name, label in zip(names, model.labels)]
     )
     kept = [best.alias("best_score")] if scores else []
-    return summed.select(*key, winner.alias(out), *kept)
+    labelled = scored.select(*keep, winner.alias(out), *kept, "_copies")
+    if copies_as is not None:
+        return labelled.withColumnRenamed("_copies", copies_as)
+    return repeat_copies(labelled, "_copies")

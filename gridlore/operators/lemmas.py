@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlore.operators.skew import lookup
-from gridlore.operators.tokens import regroup, token_rows
+from gridlore.operators.tokens import regroup, repeat_copies, token_rows
 
 # Endings that are taken off to find the lemma of a form.
 ENDINGS = ("s", "ed", "ing")
@@ -42,19 +42,19 @@ def build_lemma_dict(counts: DataFrame, endings: Sequence[str] = ENDINGS) -> Dat
 def lemmatize(
     docs: DataFrame,
     dictionary: DataFrame,
-    key: Sequence[str],
+    keep: Sequence[str],
     words: Column,
     out: str = "result",
     **limits: int,
 ) -> DataFrame:
-    """``(*key, out)`` with the lemma of each word, or the word itself.
+    """``(*keep, out)`` with the lemma of each word, or the word itself.
 
-    ``key`` must be unique. ``dictionary`` should be a written table.
+    One row for each text. ``dictionary`` should be a written table.
     """
     forms = dictionary.select(F.col("form").alias("token"), "lemma")
-    rows = lookup(token_rows(docs, key, words), forms, ["token"], **limits)
+    rows = lookup(token_rows(docs, keep, words), forms, ["token"], **limits)
     lemmas = rows.withColumn("lemma", F.coalesce("lemma", "token"))
-    return regroup(lemmas, key, "lemma", out)
+    return repeat_copies(regroup(lemmas, keep, "lemma", out), "_copies")
 
 
 def lemma_count(counts: DataFrame, dictionary: DataFrame, min_length: int = 3) -> DataFrame:

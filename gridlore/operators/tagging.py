@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlore.operators.skew import lookup
-from gridlore.operators.tokens import regroup, token_rows
+from gridlore.operators.tokens import regroup, repeat_copies, token_rows
 from gridlore.sources.shared import materialize
 
 SUFFIX = 3
@@ -72,17 +72,21 @@ def train_tagger(tagged: DataFrame) -> Tagger:
 def tag_tokens(
     docs: DataFrame,
     tagger: Tagger,
-    key: Sequence[str],
+    keep: Sequence[str],
     words: Column,
     out: str = "pos_tags",
+    copies_as: str | None = None,
+    by: Sequence[str] | None = None,
     **limits: int,
 ) -> DataFrame:
-    """``(*key, out)`` with one tag for each word. ``key`` must be unique.
+    """``(*keep, out)`` with one tag for each word.
 
     The tag is that of the word, else of its last three characters, else the
-    commonest of all.
+    commonest of all. There is one row for each text; with ``copies_as`` texts
+    that are copies share one row, their number in the column of that name.
+    ``by`` is explained at ``group_columns``.
     """
-    rows = token_rows(docs, key, words)
+    rows = token_rows(docs, keep, words, by)
     by_token = lookup(rows, tagger.tokens, ["token"], **limits)
     # Only a word without a tag needs its suffix.
     suffix = F.when(F.col("tag").isNull(), F.right("token", F.lit(SUFFIX)))
@@ -93,4 +97,7 @@ def tag_tokens(
         **limits,
     )
     tag = F.coalesce("tag", "_suffix_tag", F.lit(tagger.default))
-    return regroup(by_suffix.withColumn("_tag", tag), key, "_tag", out)
+    groups = regroup(by_suffix.withColumn("_tag", tag), keep, "_tag", out, by)
+    if copies_as is not None:
+        return groups.withColumnRenamed("_copies", copies_as)
+    return repeat_copies(groups, "_copies")

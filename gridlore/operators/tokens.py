@@ -1,4 +1,9 @@
-"""Words of many texts as rows: counting, and arrays back from rows."""
+"""Words of many texts as rows: counting, and results per text from rows.
+
+Texts need no key of their own. Rows that agree in the kept columns and in all
+their words are copies with the same result, so they are worked on as one
+group, which carries their number and is repeated at the end.
+"""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -6,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# 128 bits that stand for all words of a text.
+SAME_WORDS = ["_same1", "_same2"]
+
 
 def word_count(docs: DataFrame, words: Column, min_length: int = 3) -> DataFrame:
     """How often each word of at least ``min_length`` characters occurs."""
@@ -17,17 +25,60 @@ def word_count(docs: DataFrame, words: Column, min_length: int = 3) -> DataFrame
     )
 
 
-def token_rows(docs: DataFrame, key: Sequence[str], words: Column) -> DataFrame:
-    """``(*key, pos, token)``; a text without words gives one row of NULLs."""
-    return docs.select(*key, F.posexplode_outer(words).alias("pos", "token"))
+def same_text(value: Column) -> list[Column]:
+    """128 bits of a text, list of words or row, as two numbers."""
+    return [F.xxhash64(value), F.xxhash64(F.lit(1), value)]
+
+
+def token_rows(
+    docs: DataFrame, keep: Sequence[str], words: Column, by: Sequence[str] | None = None
+) -> DataFrame:
+    """``(*keep, pos, token)`` and the columns of ``group_columns``.
+
+    One row for each word. A text without words gives one row without position
+    and token.
+    """
+    listed = docs.select(*keep, *(by or []), words.alias("_words"))
+    if by is None:
+        marks = [mark.alias(name) for mark, name in zip(same_text(F.col("_words")), SAME_WORDS)]
+        listed = listed.select("*", *marks)
+    return listed.select(
+        *keep, *(by or SAME_WORDS), F.posexplode_outer("_words").alias("pos", "token")
+    )
+
+
+def group_columns(keep: Sequence[str], by: Sequence[str] | None) -> list[str]:
+    """The columns that tell texts apart.
+
+    Those in ``by``, if a caller has columns that determine the kept columns
+    and the words; otherwise the kept columns and a mark of all words.
+    """
+    return list(by) if by is not None else [*keep, *SAME_WORDS]
+
+
+def copies() -> Column:
+    """Aggregate: the number of texts that a group of token rows comes from."""
+    return F.count_if(F.coalesce("pos", F.lit(0)) == 0)
+
+
+def repeat_copies(groups: DataFrame, number: str) -> DataFrame:
+    """Each row as many times as its column ``number`` says."""
+    times = F.sequence(F.lit(1).cast("bigint"), F.col(number))
+    return groups.withColumn("_copy", F.explode(times)).drop("_copy", number)
 
 
-def regroup(rows: DataFrame, key: Sequence[str], value: str, out: str) -> DataFrame:
-    """``(*key, out)`` with the values in the order of ``pos``.
+def regroup(
+    rows: DataFrame, keep: Sequence[str], value: str, out: str, by: Sequence[str] | None = None
+) -> DataFrame:
+    """``(*keep, *by, out, _copies)`` with the values in the order of ``pos``.
 
-    The group is one text. Rows without a position stand for an empty text.
+    A group is one text. Its copies give the same values at the same places,
+    which a set holds once.
     """
     placed = F.when(F.col("pos").isNotNull(), F.struct("pos", value))
-    return rows.groupBy(*key).agg(
-        F.transform(F.sort_array(F.collect_list(placed)), lambda p: p[value]).alias(out)
+    carried = [F.any_value(name).alias(name) for name in keep] if by is not None else []
+    groups = rows.groupBy(*group_columns(keep, by)).agg(
+        F.collect_set(placed).alias("_placed"), copies().alias("_copies"), *carried
     )
+    values = F.transform(F.sort_array("_placed"), lambda p: p[value])
+    return groups.select(*keep, *(by or []), values.alias(out), "_copies")

@@ -11,7 +11,7 @@ from gridlore.functions.words import clean_words, remove_stopwords, tokenize
 from gridlore.operators.bayes import NaiveBayes, predict_nb
 from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize, top_words
 from gridlore.operators.tagging import Tagger, tag_tokens
-from gridlore.operators.tokens import word_count
+from gridlore.operators.tokens import repeat_copies, same_text, word_count
 from gridlore.plans.sentiment import predict_sentiment
 from gridlore.sources.shared import materialize
 
@@ -23,11 +23,11 @@ def content_words(text: Column, stopwords: Sequence[str] = ENGLISH_STOP_WORDS) -
 
 
 def review_lemmas(
-    reviews: DataFrame, dictionary: DataFrame, key: Sequence[str] = ("Id",), **limits: int
+    reviews: DataFrame, dictionary: DataFrame, keep: Sequence[str] = ("Id",), **limits: int
 ) -> DataFrame:
-    """``(*key, result)``: the lemmas of each review with a text."""
+    """``(*keep, result)``: the lemmas of each review with a text."""
     texts = reviews.where(F.col("text").isNotNull())
-    return lemmatize(texts, dictionary, key, content_words(F.col("text")), **limits)
+    return lemmatize(texts, dictionary, keep, content_words(F.col("text")), **limits)
 
 
 def review_vocabulary(reviews: DataFrame) -> DataFrame:
@@ -59,16 +59,26 @@ def annotate_reviews(
     sentiment: NaiveBayes,
     language: NaiveBayes,
     tagger: Tagger,
-    key: Sequence[str] = ("Id",),
+    keep: Sequence[str] = ("Id",),
     **limits: int,
 ) -> DataFrame:
-    """``(*key, sentiment, language, pos)`` for each review with a text.
+    """``(*keep, sentiment, language, pos)`` for each review with a text.
 
     The language is judged by all words, tags go to the tokens as written.
-    ``key`` must be unique.
     """
-    texts = reviews.where(F.col("text").isNotNull())
-    moods = predict_sentiment(texts, sentiment, key, limits=limits)
-    languages = predict_nb(texts, language, key, clean_words(F.col("text")), "language", **limits)
-    tags = tag_tokens(texts, tagger, key, tokenize(F.col("text")), "pos", **limits)
-    return moods.join(languages, list(key)).join(tags, list(key))
+    # Marks of a row, equal for copies only. Each of the three results has
+    # them once and is already distributed by them, so the joins move nothing.
+    marks = ["_row1", "_row2"]
+    # Hashes pass over NULLs, so say which columns are NULL.
+    row = F.struct("text", *keep, *[F.col(name).isNull() for name in keep])
+    texts = reviews.where(F.col("text").isNotNull()).withColumns(dict(zip(marks, same_text(row))))
+    moods = predict_sentiment(texts, sentiment, copies_as="_moods", by=marks, limits=limits)
+    languages = predict_nb(
+        texts, language, [], clean_words(F.col("text")), "language",
+        copies_as="_languages", by=marks, **limits,
+    )
+    tags = tag_tokens(
+        texts, tagger, keep, tokenize(F.col("text")), "pos", copies_as="_copies", by=marks, **limits
+    )
+    notes = tags.join(moods, marks).join(languages, marks)
+    return repeat_copies(notes.select(*keep, "sentiment", "language", "pos", "_copies"), "_copies")

@@ -38,33 +38,45 @@ def train_sentiment(reviews: DataFrame, label: str = "label", **options) -> Naiv
 def predict_sentiment(
     reviews: DataFrame,
     model: NaiveBayes,
-    key: Sequence[str] = ("Id",),
+    keep: Sequence[str] = ("Id",),
     out: str = "sentiment",
+    copies_as: str | None = None,
+    by: Sequence[str] | None = None,
     limits: dict[str, int] | None = None,
     **options,
 ) -> DataFrame:
-    """``(*key, out)`` for reviews with a text. Use the options of training."""
+    """``(*keep, out)`` for each review with a text.
+
+    ``options`` are those of ``sentiment_words``, the same as in training.
+    """
     texts = reviews.where(F.col("text").isNotNull())
     words = sentiment_words(F.col("text"), **options)
-    return predict_nb(texts, model, key, words, out, **(limits or {}))
+    return predict_nb(
+        texts, model, keep, words, out, copies_as=copies_as, by=by, **(limits or {})
+    )
 
 
-def title_stats(labelled: DataFrame, null_title: str = "zero") -> DataFrame:
+def title_stats(
+    labelled: DataFrame, null_title: str = "zero", copies: str | None = None
+) -> DataFrame:
     """Reviews, positive reviews, percentage and mean score for each title.
 
-    ``labelled`` has Title, score and sentiment. Reviews without a title form
-    a group whose positive reviews are not counted, unless ``null_title`` is
+    ``labelled`` has Title, score and sentiment, and where ``copies`` names a
+    column, a row stands for that many reviews. Reviews without a title form a
+    group whose positive reviews are not counted, unless ``null_title`` is
     ``count``.
     """
     if null_title not in ("zero", "count"):
         raise ValueError("null_title is 'zero' or 'count'")
+    number = F.lit(1).cast("bigint") if copies is None else F.col(copies)
     positive = F.col("sentiment") == "positive"
     if null_title == "zero":
         positive = positive & F.col("Title").isNotNull()
+    scored = F.sum(F.when(F.col("score").isNotNull(), number))
     stats = labelled.groupBy("Title").agg(
-        F.count("*").alias("total_reviews"),
-        F.count_if(positive).alias("positive_count"),
-        F.avg("score").alias("mean_score"),
+        F.sum(number).alias("total_reviews"),
+        F.sum(F.when(positive, number).otherwise(0)).alias("positive_count"),
+        (F.sum(F.col("score") * number) / scored).alias("mean_score"),
     )
     return stats.select(
         "Title",
@@ -78,12 +90,12 @@ def title_stats(labelled: DataFrame, null_title: str = "zero") -> DataFrame:
 def title_sentiment(
     reviews: DataFrame,
     model: NaiveBayes,
-    key: Sequence[str] = ("Id",),
     null_title: str = "zero",
     limits: dict[str, int] | None = None,
     **options,
 ) -> DataFrame:
     """``title_stats`` of reviews whose sentiment is predicted with ``model``."""
-    keep = [*key, "Title", "score"]
-    labelled = predict_sentiment(reviews, model, keep, limits=limits, **options)
-    return title_stats(labelled, null_title)
+    labelled = predict_sentiment(
+        reviews, model, ["Title", "score"], copies_as="copies", limits=limits, **options
+    )
+    return title_stats(labelled, null_title, "copies")

@@ -176,3 +176,34 @@ def test_no_python_in_the_plans(spark, plan):
     for result in (plans.predict_sentiment(texts, model), plans.top_lemmas(texts)):
         text = plan(result)
         assert "EvalPython" not in text and "InPandas" not in text
+
+
+@pytest.mark.parametrize("limits", [{}, LARGE])
+def test_rows_need_no_key(spark, limits):
+    """Ids that repeat, and copies, keep one result for each row."""
+    training = spark.createDataFrame(TRAINING, "text string, label string")
+    mood = plans.train_sentiment(training)
+    rows = [("1", "T", 4.0, "bad book"), ("1", "T", 4.0, "good"), ("1", "T", 4.0, "good"),
+            ("1", None, 5.0, "good good"), ("1", "T", None, "bad"), (None, "T", 1.0, "good")]
+    reviews = spark.createDataFrame(rows, "Id string, Title string, score double, text string")
+    found = plans.predict_sentiment(reviews, mood, ["Id", "text"], limits=limits).collect()
+    assert sorted((r.text, r.sentiment) for r in found) == [
+        ("bad", "negative"), ("bad book", "negative"), ("good", "positive"), ("good", "positive"),
+        ("good", "positive"), ("good good", "positive"),
+    ]
+    stats = {r.Title: tuple(r)[1:] for r in plans.title_sentiment(reviews, mood, limits=limits).collect()}
+    assert stats == {"T": (5, 3, 60.0, 3.25), None: (1, 0, 0.0, 5.0)}
+
+    dictionary = spark.createDataFrame([("books", "book")], "form string, lemma string")
+    lemmas = plans.review_lemmas(reviews, dictionary, **limits).collect()
+    assert sorted(map(str, (r.result for r in lemmas))) == sorted(
+        map(str, [["bad", "book"], ["good"], ["good"], ["good", "good"], ["bad"], ["good"]])
+    )
+    tongue = op.train_nb(training, "label", fx.clean_words(F.col("text")))
+    tagger = op.train_tagger(spark.createDataFrame([("bad", "J"), ("book", "N")],
+                                                   "token string, tag string"))
+    notes = plans.annotate_reviews(reviews, mood, tongue, tagger, **limits).collect()
+    assert sorted(str((r.Id, r.sentiment, r.pos)) for r in notes) == sorted(map(str, [
+        ("1", "negative", ["J", "N"]), ("1", "positive", ["J"]), ("1", "positive", ["J"]),
+        ("1", "positive", ["J", "J"]), ("1", "negative", ["J"]), (None, "positive", ["J"]),
+    ]))
