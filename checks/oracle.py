@@ -284,6 +284,14 @@ SELECTS = {
     "remove_stopwords": """
         SELECT "Id", row_number() OVER (PARTITION BY "Id" ORDER BY pos) - 1 AS pos,
                word AS value FROM content""",
+    "text_features": """
+        SELECT t."Id", coalesce(a.n, 0) AS token, coalesce(b.n, 0) AS normalized,
+               coalesce(c.n, 0) AS "cleanTokens"
+        FROM texts t
+        LEFT JOIN (SELECT "Id", count(*) AS n FROM tokens GROUP BY "Id") a ON t."Id" = a."Id"
+        LEFT JOIN (SELECT "Id", count(*) AS n FROM words GROUP BY "Id") b ON t."Id" = b."Id"
+        LEFT JOIN (SELECT "Id", count(*) AS n FROM content GROUP BY "Id") c
+        ON t."Id" = c."Id" """,
     "mark_negation": 'SELECT "Id", word, count(*) AS n FROM marked GROUP BY "Id", word',
     "word_count": """
         SELECT word, count(*) AS count FROM words WHERE length(word) > 2 GROUP BY word""",

@@ -158,6 +158,17 @@ def remove_stopwords(spark, sf):
     return _listed(_texts(spark, sf).select("Id", words.alias("words")), ["Id"], "words", "value")
 
 
+def text_features(spark, sf):
+    steps = [
+        ("token", "text", fx.tokenize),
+        ("normalized", "token", fx.normalize_tokens),
+        ("cleanTokens", "normalized", fx.remove_stopwords),
+    ]
+    features = plans.text_features(_texts(spark, sf), steps)
+    sizes = [F.size(out).cast("bigint").alias(out) for out, _, _ in steps]
+    return features.select("Id", *sizes)
+
+
 def mark_negation(spark, sf):
     words = fx.mark_negation(F.col("text"))
     marked = _texts(spark, sf).select("Id", F.explode(words).alias("word"))
@@ -272,7 +283,8 @@ QUERIES: dict[str, Query] = {
         distance_join, pair_count, near_ids, near_people, neighbor_count,
         clean_reviews, score_stats, user_stats, explode_categories,
         reviews_by_category, user_category_stats, user_category_stats_active,
-        tokenize, normalize_tokens, remove_stopwords, mark_negation, word_count,
+        tokenize, normalize_tokens, remove_stopwords, text_features,
+        mark_negation, word_count,
         build_lemma_dict, lemmatize, review_lemmas, top_words,
         train_language, detect_language, detect_turn_language,
         train_sentiment, predict_sentiment, train_tagger, tag_tokens,

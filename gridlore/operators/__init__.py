@@ -10,7 +10,7 @@ from gridlore.operators.reviews import (
     user_category_stats,
     user_stats,
 )
-from gridlore.operators.skew import lookup, salted_join
+from gridlore.operators.skew import Limits, balanced_join, lookup, salted_join
 from gridlore.operators.tagging import Tagger, tag_tokens, train_tagger
 from gridlore.operators.tokens import word_count
 
@@ -18,6 +18,7 @@ __all__ = [
     "NaiveBayes", "predict_nb", "train_nb", "build_lemma_dict", "lemma_count",
     "lemmatize", "top_words", "distance_join", "near_ids", "near_people",
     "neighbor_count", "clean_reviews", "explode_categories", "reviews_by_category",
-    "score_stats", "user_category_stats", "user_stats", "lookup", "salted_join",
+    "score_stats", "user_category_stats", "user_stats", "Limits", "balanced_join",
+    "lookup", "salted_join",
     "Tagger", "tag_tokens", "train_tagger", "word_count",
 ]

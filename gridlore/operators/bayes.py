@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.operators.skew import lookup
+from gridlore.operators.skew import DEFAULT, Limits, lookup
 from gridlore.operators.tokens import copies, group_columns, repeat_copies, token_rows
 from gridlore.sources.shared import materialize
 
@@ -85,7 +85,7 @@ def predict_nb(
     scores: bool = False,
     copies_as: str | None = None,
     by: Sequence[str] | None = None,
-    **limits: int,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``(*keep, out)`` with the likeliest label of each text.
 
@@ -99,7 +99,7 @@ def predict_nb(
     if by is not None:
         keep = []
     rows = token_rows(docs, keep, words, by)
-    weighed = lookup(rows, model.weights.withColumnRenamed("w", "token"), ["token"], **limits)
+    weighed = lookup(rows, model.weights.withColumnRenamed("w", "token"), ["token"], limits)
     names = [f"_score_{i}" for i in range(len(model.labels))]
     summed = weighed.groupBy(*group_columns(keep, by)).agg(
         copies().alias("_copies"),

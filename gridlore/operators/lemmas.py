@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.operators.skew import lookup
+from gridlore.operators.skew import DEFAULT, Limits, lookup
 from gridlore.operators.tokens import regroup, repeat_copies, token_rows
 
 # Endings that are taken off to find the lemma of a form.
@@ -45,14 +45,14 @@ def lemmatize(
     keep: Sequence[str],
     words: Column,
     out: str = "result",
-    **limits: int,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``(*keep, out)`` with the lemma of each word, or the word itself.
 
     One row for each text. ``dictionary`` should be a written table.
     """
     forms = dictionary.select(F.col("form").alias("token"), "lemma")
-    rows = lookup(token_rows(docs, keep, words), forms, ["token"], **limits)
+    rows = lookup(token_rows(docs, keep, words), forms, ["token"], limits)
     lemmas = rows.withColumn("lemma", F.coalesce("lemma", "token"))
     return repeat_copies(regroup(lemmas, keep, "lemma", out), "_copies")
 

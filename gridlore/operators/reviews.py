@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlore.functions.categories import category_list
-from gridlore.operators.skew import HOT_PARTS, HOT_ROWS, salted_join
+from gridlore.operators.skew import DEFAULT, Limits, balanced_join
+from gridlore.sources.shared import materialize
 
 
 def clean_reviews(reviews: DataFrame, min_score: float = 4.0) -> DataFrame:
@@ -60,50 +61,39 @@ def explode_categories(books: DataFrame) -> DataFrame:
     return books.select("Title", F.explode(category_list(F.col("categories"))).alias("Category"))
 
 
-def _with_categories(
-    rows: DataFrame, categories: DataFrame, measure: bool, parts: int, min_rows: int
-) -> DataFrame:
-    known = rows.where(F.col("Title").isNotNull())
-    return salted_join(
-        known,
-        categories.where(F.col("Title").isNotNull()),
-        ["Title"],
-        measure=measure,
-        parts=parts,
-        min_rows=min_rows,
+def _with_categories(rows: DataFrame, categories: DataFrame, limits: Limits) -> DataFrame:
+    listed = materialize(categories.where(F.col("Title").isNotNull()), "categories")
+    return balanced_join(
+        rows.where(F.col("Title").isNotNull()), listed, ["Title"], limits=limits
     )
 
 
 def reviews_by_category(
     reviews: DataFrame,
     categories: DataFrame,
-    parts: int = HOT_PARTS,
-    min_rows: int = HOT_ROWS,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Reviews with the categories of their title, one row for each.
 
     A title that is listed more than once gives its reviews more than once.
     """
-    measure = reviews.count() >= min_rows or categories.count() >= min_rows
-    return _with_categories(reviews, categories, measure, parts, min_rows)
+    return _with_categories(reviews, categories, limits)
 
 
 def user_category_stats(
     reviews: DataFrame,
     categories: DataFrame,
     min_reviews: int = 2,
-    parts: int = HOT_PARTS,
-    min_rows: int = HOT_ROWS,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Number of reviews, mean score and mean price for each user and category.
 
     These are statistics over ``reviews_by_category``. A category that a title
     lists more than once is joined once and weighs as often as it is listed.
     """
-    measure = reviews.count() >= min_rows or categories.count() >= min_rows
     listed = categories.groupBy("Title", "Category").agg(F.count("*").alias("_times"))
     joined = _with_categories(
-        reviews.select("User_id", "Title", "score", "Price"), listed, measure, parts, min_rows
+        reviews.select("User_id", "Title", "score", "Price"), listed, limits
     )
 
     def weighted_mean(name: str):

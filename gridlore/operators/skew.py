@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,40 +10,46 @@ from pyspark.sql import functions as F
 
 from gridlore.sources.shared import materialize
 
-# A key is hot if it holds more than one part in HOT_PARTS of the rows, so
-# there are fewer than HOT_PARTS hot keys whatever the size of the data, and
-# the list of them can always be broadcast.
-HOT_PARTS = 1024
-# A key with fewer rows than this is never worth splitting.
-HOT_ROWS = 100_000
-# A table of up to this many rows and bytes is broadcast to every executor.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+
+@dataclass(frozen=True)
+class Limits:
+    """When to split keys and when to broadcast.
+
+    A key is hot if it holds more than one part in ``parts`` of the rows and at
+    least ``min_rows``. So there are fewer than ``parts`` hot keys whatever the
+    size of the data, and the list of them can always be broadcast. Another
+    table is broadcast if it has been measured to have no more than
+    ``max_rows`` rows and ``max_bytes`` bytes.
+    """
+
+    parts: int = 1024
+    min_rows: int = 100_000
+    max_rows: int = 1_000_000
+    max_bytes: int = 64 * 1024 * 1024
+
+
+DEFAULT = Limits()
 
 
 def _no_nulls(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Keys with more than one ``parts``-th of the rows, and ``slices`` for each.
+def hot_keys(df: DataFrame, keys: Sequence[str], limits: Limits = DEFAULT) -> DataFrame:
+    """The hot keys, and into how many ``slices`` to cut each.
 
-    One slice is about one ``parts``-th of the rows, so there are fewer than
-    ``2 * parts`` slices in all.
+    One slice is about one part of the rows, so there are fewer than
+    ``2 * limits.parts`` slices in all.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    share = F.col("_n") * F.lit(parts) / total
-    large = counts.where((F.col("_n") >= min_rows) & (share > 1) & _no_nulls(keys))
+    share = F.col("_n") * F.lit(limits.parts) / total
+    large = counts.where((F.col("_n") >= limits.min_rows) & (share > 1) & _no_nulls(keys))
     return large.select(*keys, F.ceil(share).cast("bigint").alias("slices"))
 
 
-def _found_hot_keys(
-    df: DataFrame, keys: Sequence[str], parts: int, min_rows: int
-) -> DataFrame | None:
-    hot = materialize(hot_keys(df, keys, parts, min_rows), "hot")
+def _found_hot_keys(df: DataFrame, keys: Sequence[str], limits: Limits) -> DataFrame | None:
+    hot = materialize(hot_keys(df, keys, limits), "hot")
     return None if hot.isEmpty() else F.broadcast(hot)
 
 
@@ -56,89 +63,96 @@ def _every_slice(slices: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1))
 
 
+def _join(left, right, matched, keys, how, condition, broadcast=False) -> DataFrame:
+    renamed = {name: f"_other_{name}" for name in matched}
+    right = right.withColumnsRenamed(renamed)
+    if broadcast:
+        right = F.broadcast(right)
+    on = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in renamed.items()])
+    if condition is not None:
+        on = on & condition
+    salts = [name for name in matched if name not in keys]
+    return left.join(right, on, how).drop(*salts, *renamed.values())
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
     condition: Column | None = None,
-    measure: bool = True,
-    parts: int = HOT_PARTS,
-    min_rows: int = HOT_ROWS,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Equi-join on ``keys``, hot keys split over many tasks.
 
     The left rows of a hot key are cut into slices, and its right rows go to
     each slice. In an inner join the right side is cut the same way. In a left
     join, rows without a key are spread out. The other column names of the two
-    sides must differ, and the result has the keys once. ``how`` is ``inner``, ``left`` or ``left_semi``.
+    sides must differ, and the result has the keys once. ``how`` is ``inner``,
+    ``left`` or ``left_semi``.
 
     The hot keys are counted when this is called. Without hot keys the result
-    is an ordinary join. ``measure=False`` skips the counting, for inputs that
-    are known to have fewer than ``min_rows`` rows.
+    is an ordinary join.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join: {how}")
-    keys = list(keys)
     matched = list(keys)
     left_columns, right_columns = left.columns, right.columns
     one = F.lit(1).cast("bigint")
 
-    hot = _found_hot_keys(left, keys, parts, min_rows) if measure else None
-    hot_right = None
-    if measure and how == "inner":
-        hot_right = _found_hot_keys(right, keys, parts, min_rows)
-    if hot is not None or (measure and how == "left"):
+    hot = _found_hot_keys(left, keys, limits)
+    hot_right = _found_hot_keys(right, keys, limits) if how == "inner" else None
+    if hot is not None or how == "left":
+        slices = one
         if hot is not None:
-            left, right = left.join(hot, keys, "left"), right.join(hot, keys, "left")
+            left, right = left.join(hot, list(keys), "left"), right.join(hot, list(keys), "left")
             slices = F.coalesce("slices", one)
-        else:
-            slices = one
         # A NULL key joins nothing, so its rows may go anywhere.
-        cuts = F.when(_no_nulls(keys), slices).otherwise(F.lit(parts).cast("bigint"))
+        cuts = F.when(_no_nulls(keys), slices).otherwise(F.lit(limits.parts).cast("bigint"))
         left = left.withColumn("_salt_left", _row_slice(left_columns, cuts)).drop("slices")
         right = right.withColumn("_salt_left", _every_slice(slices)).drop("slices")
         matched.append("_salt_left")
     if hot_right is not None:
-        left, right = left.join(hot_right, keys, "left"), right.join(hot_right, keys, "left")
+        left = left.join(hot_right, list(keys), "left")
+        right = right.join(hot_right, list(keys), "left")
         slices = F.coalesce("slices", one)
         left = left.withColumn("_salt_right", _every_slice(slices)).drop("slices")
         right = right.withColumn("_salt_right", _row_slice(right_columns, slices)).drop("slices")
         matched.append("_salt_right")
+    return _join(left, right, matched, keys, how, condition)
 
-    renamed = {name: f"_other_{name}" for name in matched}
-    right = right.withColumnsRenamed(renamed)
-    on = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in renamed.items()])
-    if condition is not None:
-        on = on & condition
-    extra = [name for name in matched if name not in keys]
-    return left.join(right, on, how).drop(*extra, *renamed.values())
 
-
-def fits_broadcast(
-    table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
+def fits_broadcast(table: DataFrame, limits: Limits = DEFAULT) -> bool:
     """Measure a table: is it small enough for every executor to hold?"""
     texts = [name for name, kind in table.dtypes if kind == "string"]
     fixed = F.lit(8 * (len(table.columns) + 1))
     width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), fixed)
     rows, size = table.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    return rows <= limits.max_rows and size <= limits.max_bytes
 
 
-def lookup(
-    facts: DataFrame,
-    table: DataFrame,
+def balanced_join(
+    left: DataFrame,
+    right: DataFrame,
     keys: Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
-    parts: int = HOT_PARTS,
-    min_rows: int = HOT_ROWS,
+    how: str = "inner",
+    condition: Column | None = None,
+    limits: Limits = DEFAULT,
+    at_most: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join of many rows to a written table that has one row per key.
+    """``salted_join``, or a broadcast join if the right side is small.
 
-    A table that is measured to be small is broadcast and the facts stay where
-    they are. A larger one is joined by key, with frequent keys split up.
+    The right side is measured, or ``at_most``, a table that is no smaller and
+    easier to compute. With a broadcast the left side is not looked at
+    beforehand and stays where it is.
     """
-    if fits_broadcast(table, max_rows):
-        return facts.join(F.broadcast(table), list(keys), "left")
-    return salted_join(facts, table, keys, "left", parts=parts, min_rows=min_rows)
+    if fits_broadcast(right if at_most is None else at_most, limits):
+        return _join(left, right, list(keys), keys, how, condition, broadcast=True)
+    return salted_join(left, right, keys, how, condition, limits)
+
+
+def lookup(
+    facts: DataFrame, table: DataFrame, keys: Sequence[str], limits: Limits = DEFAULT
+) -> DataFrame:
+    """Left join of many rows to a written table that has one row per key."""
+    return balanced_join(facts, table, keys, "left", limits=limits)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.operators.skew import lookup
+from gridlore.operators.skew import DEFAULT, Limits, lookup
 from gridlore.operators.tokens import regroup, repeat_copies, token_rows
 from gridlore.sources.shared import materialize
 
@@ -77,7 +77,7 @@ def tag_tokens(
     out: str = "pos_tags",
     copies_as: str | None = None,
     by: Sequence[str] | None = None,
-    **limits: int,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``(*keep, out)`` with one tag for each word.
 
@@ -87,14 +87,14 @@ def tag_tokens(
     ``by`` is explained at ``group_columns``.
     """
     rows = token_rows(docs, keep, words, by)
-    by_token = lookup(rows, tagger.tokens, ["token"], **limits)
+    by_token = lookup(rows, tagger.tokens, ["token"], limits)
     # Only a word without a tag needs its suffix.
     suffix = F.when(F.col("tag").isNull(), F.right("token", F.lit(SUFFIX)))
     by_suffix = lookup(
         by_token.withColumn("suffix", suffix),
         tagger.suffixes.withColumnRenamed("tag", "_suffix_tag"),
         ["suffix"],
-        **limits,
+        limits,
     )
     tag = F.coalesce("tag", "_suffix_tag", F.lit(tagger.default))
     groups = regroup(by_suffix.withColumn("_tag", tag), keep, "_tag", out, by)

@@ -3,6 +3,7 @@ from gridlore.plans.annotations import (
     annotate_reviews,
     review_lemmas,
     review_vocabulary,
+    text_features,
     top_lemmas,
 )
 from gridlore.plans.sentiment import (
@@ -14,6 +15,6 @@ from gridlore.plans.sentiment import (
 )
 
 __all__ = [
-    "annotate_reviews", "review_lemmas", "review_vocabulary", "top_lemmas",
+    "annotate_reviews", "review_lemmas", "review_vocabulary", "text_features", "top_lemmas",
     "predict_sentiment", "sentiment_words", "title_sentiment", "title_stats", "train_sentiment",
 ]

@@ -1,7 +1,7 @@
 """Lemmas and annotations of review texts."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from gridlore.functions.stopwords import ENGLISH_STOP_WORDS
 from gridlore.functions.words import clean_words, remove_stopwords, tokenize
 from gridlore.operators.bayes import NaiveBayes, predict_nb
 from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize, top_words
+from gridlore.operators.skew import DEFAULT, Limits
 from gridlore.operators.tagging import Tagger, tag_tokens
 from gridlore.operators.tokens import repeat_copies, same_text, word_count
 from gridlore.plans.sentiment import predict_sentiment
@@ -23,11 +24,11 @@ def content_words(text: Column, stopwords: Sequence[str] = ENGLISH_STOP_WORDS) -
 
 
 def review_lemmas(
-    reviews: DataFrame, dictionary: DataFrame, keep: Sequence[str] = ("Id",), **limits: int
+    reviews: DataFrame, dictionary: DataFrame, keep: Sequence[str] = ("Id",), limits: Limits = DEFAULT
 ) -> DataFrame:
     """``(*keep, result)``: the lemmas of each review with a text."""
     texts = reviews.where(F.col("text").isNotNull())
-    return lemmatize(texts, dictionary, keep, content_words(F.col("text")), **limits)
+    return lemmatize(texts, dictionary, keep, content_words(F.col("text")), limits=limits)
 
 
 def review_vocabulary(reviews: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def annotate_reviews(
     language: NaiveBayes,
     tagger: Tagger,
     keep: Sequence[str] = ("Id",),
-    **limits: int,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``(*keep, sentiment, language, pos)`` for each review with a text.
 
@@ -75,10 +76,23 @@ def annotate_reviews(
     moods = predict_sentiment(texts, sentiment, copies_as="_moods", by=marks, limits=limits)
     languages = predict_nb(
         texts, language, [], clean_words(F.col("text")), "language",
-        copies_as="_languages", by=marks, **limits,
+        copies_as="_languages", by=marks, limits=limits,
     )
     tags = tag_tokens(
-        texts, tagger, keep, tokenize(F.col("text")), "pos", copies_as="_copies", by=marks, **limits
+        texts, tagger, keep, tokenize(F.col("text")), "pos", copies_as="_copies", by=marks, limits=limits
     )
     notes = tags.join(moods, marks).join(languages, marks)
     return repeat_copies(notes.select(*keep, "sentiment", "language", "pos", "_copies"), "_copies")
+
+
+def text_features(
+    docs: DataFrame, steps: Sequence[tuple[str, str, Callable[[Column], Column]]]
+) -> DataFrame:
+    """Add a column for each step ``(new column, column it is made from, function)``.
+
+    For example ``("token", "text", tokenize)`` and then
+    ``("normalized", "token", normalize_tokens)``.
+    """
+    for out, source, function in steps:
+        docs = docs.withColumn(out, function(F.col(source)))
+    return docs

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridlore.functions.stopwords import ENGLISH_STOP_WORDS
 from gridlore.functions.words import NEGATORS, clean_words, mark_negation, remove_stopwords
 from gridlore.operators.bayes import NaiveBayes, predict_nb, train_nb
+from gridlore.operators.skew import DEFAULT, Limits
 
 
 def sentiment_words(
@@ -42,7 +43,7 @@ def predict_sentiment(
     out: str = "sentiment",
     copies_as: str | None = None,
     by: Sequence[str] | None = None,
-    limits: dict[str, int] | None = None,
+    limits: Limits = DEFAULT,
     **options,
 ) -> DataFrame:
     """``(*keep, out)`` for each review with a text.
@@ -52,7 +53,7 @@ def predict_sentiment(
     texts = reviews.where(F.col("text").isNotNull())
     words = sentiment_words(F.col("text"), **options)
     return predict_nb(
-        texts, model, keep, words, out, copies_as=copies_as, by=by, **(limits or {})
+        texts, model, keep, words, out, copies_as=copies_as, by=by, limits=limits
     )
 
 
@@ -91,7 +92,7 @@ def title_sentiment(
     reviews: DataFrame,
     model: NaiveBayes,
     null_title: str = "zero",
-    limits: dict[str, int] | None = None,
+    limits: Limits = DEFAULT,
     **options,
 ) -> DataFrame:
     """``title_stats`` of reviews whose sentiment is predicted with ``model``."""

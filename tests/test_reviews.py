@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlore import operators as op
+from gridlore.operators.skew import Limits
 
 REVIEW = "Id long, Title string, Price double, User_id string, score double, text string"
 
@@ -47,7 +48,7 @@ def test_categories(spark, text, names):
     assert [r.Category for r in op.explode_categories(books).collect()] == names
 
 
-@pytest.mark.parametrize("limits", [{}, {"parts": 4, "min_rows": 2}])
+@pytest.mark.parametrize("limits", [Limits(), Limits(max_rows=0, parts=4, min_rows=2)])
 def test_user_category_stats(spark, limits):
     reviews = frame(spark, [
         (1, "A", 2.0, "u", 4.0, "t"), (2, "A", None, "u", 5.0, "t"), (3, "B", None, "u", 4.0, "t"),
@@ -58,7 +59,7 @@ def test_user_category_stats(spark, limits):
         [("A", "X"), ("A", "X"), ("A", "Y"), ("B", "Z"), ("B", "Z"), (None, "X")],
         "Title string, Category string",
     )
-    stats = op.user_category_stats(reviews, categories, **limits).collect()
+    stats = op.user_category_stats(reviews, categories, limits=limits).collect()
     assert {(r.User_id, r.Category): tuple(r)[2:] for r in stats} == {
         ("u", "X"): (4, 4.5, 2.0),
         ("u", "Y"): (2, 4.5, 2.0),
@@ -66,7 +67,7 @@ def test_user_category_stats(spark, limits):
         ("v", "X"): (2, 4.0, 4.0),
         ("w", "Z"): (2, 5.0, None),
     }
-    joined = op.reviews_by_category(reviews, categories, **limits)
+    joined = op.reviews_by_category(reviews, categories, limits=limits)
     direct = joined.groupBy("User_id", "Category").agg(
         F.count("*").alias("n"), F.avg("score").alias("s"), F.avg("Price").alias("p")
     ).where("n >= 2")

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from gridlore.operators.skew import fits_broadcast, hot_keys, lookup, salted_join
+from gridlore.operators.skew import Limits, fits_broadcast, hot_keys, lookup, salted_join
 
 
 def skewed(spark):
@@ -20,27 +20,27 @@ def rows(df):
 
 
 def test_hot_keys_are_few_and_sliced_by_share(spark):
-    found = hot_keys(skewed(spark), ["k"], parts=30, min_rows=2).collect()
+    found = hot_keys(skewed(spark), ["k"], Limits(parts=30, min_rows=2)).collect()
     assert [tuple(r) for r in found] == [(1, 11)]
-    assert hot_keys(skewed(spark), ["k"], parts=30, min_rows=402).count() == 0
+    assert hot_keys(skewed(spark), ["k"], Limits(parts=30, min_rows=402)).count() == 0
 
 
 def test_joins_equal_ordinary_joins(spark):
     left, right = skewed(spark), other(spark)
-    limits = {"parts": 30, "min_rows": 2}
+    limits = Limits(parts=30, min_rows=2)
     for how in ("inner", "left", "left_semi"):
-        assert rows(salted_join(left, right, ["k"], how, **limits)) == rows(
+        assert rows(salted_join(left, right, ["k"], how, limits=limits)) == rows(
             left.join(right, "k", how)
         )
     both_hot = right.union(spark.range(200).select(F.lit(1).alias("k"), F.col("id").alias("b")))
-    assert rows(salted_join(left, both_hot, ["k"], **limits)) == rows(left.join(both_hot, "k"))
+    assert rows(salted_join(left, both_hot, ["k"], limits=limits)) == rows(left.join(both_hot, "k"))
 
 
 def test_condition(spark):
     left, right = skewed(spark), other(spark)
     condition = F.col("a") > F.col("b")
     for how in ("inner", "left_semi"):
-        found = salted_join(left, right, ["k"], how, condition, parts=30, min_rows=2)
+        found = salted_join(left, right, ["k"], how, condition, Limits(parts=30, min_rows=2))
         plain = left.join(right, "k").where(condition)
         if how == "left_semi":
             plain = plain.select("k", "a").distinct()
@@ -52,7 +52,7 @@ def test_hot_key_and_missing_keys_are_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", False)
     spark.conf.set("spark.sql.shuffle.partitions", 8)
     try:
-        joined = salted_join(skewed(spark), other(spark), ["k"], "left", parts=64, min_rows=2)
+        joined = salted_join(skewed(spark), other(spark), ["k"], "left", limits=Limits(parts=64, min_rows=2))
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for name in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
@@ -67,7 +67,7 @@ def test_lookup_by_size(spark, plan):
         F.col("id").alias("k"), F.col("id").cast("string").alias("b")
     )
     assert fits_broadcast(table)
-    assert not fits_broadcast(table, max_rows=1199)
-    assert not fits_broadcast(table, max_bytes=20_000)
-    large = lookup(facts, table, ["k"], max_rows=10, parts=30, min_rows=2)
+    assert not fits_broadcast(table, Limits(max_rows=1199))
+    assert not fits_broadcast(table, Limits(max_bytes=20_000))
+    large = lookup(facts, table, ["k"], Limits(max_rows=10, parts=30, min_rows=2))
     assert rows(large) == rows(lookup(facts, table, ["k"])) == rows(facts.join(table, "k", "left"))

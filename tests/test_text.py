@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from gridlore import functions as fx
 from gridlore import operators as op
 from gridlore import plans
+from gridlore.operators.skew import Limits
 
-LARGE = {"max_rows": 0, "parts": 4, "min_rows": 2}
+LARGE = Limits(max_rows=0, parts=4, min_rows=2)
 
 
 def value(spark, text, expression):
@@ -72,14 +73,14 @@ def test_word_count_and_top(spark):
     assert [r.word for r in op.top_words(counts, 1).collect()] == ["aaa"]
 
 
-@pytest.mark.parametrize("limits", [{}, LARGE])
+@pytest.mark.parametrize("limits", [Limits(), LARGE])
 def test_lemmas(spark, limits):
     texts = docs(spark, "walk walks walked walking", "s ed sing ring", "the of", "", None)
     dictionary = op.build_lemma_dict(plans.review_vocabulary(texts))
     assert sorted(map(tuple, dictionary.collect())) == [
         ("sing", "s"), ("walked", "walk"), ("walking", "walk"), ("walks", "walk"),
     ]
-    lemmas = {r.Id: r.result for r in plans.review_lemmas(texts, dictionary, **limits).collect()}
+    lemmas = {r.Id: r.result for r in plans.review_lemmas(texts, dictionary, limits=limits).collect()}
     # "s" is a stop word; texts without words keep their row, NULL texts do not.
     assert lemmas == {0: ["walk"] * 4, 1: ["ed", "s", "ring"], 2: [], 3: []}
     top = [tuple(r) for r in plans.top_lemmas(texts, k=2).collect()]
@@ -103,13 +104,13 @@ def test_naive_bayes_weights(spark):
     assert len(weights) == 6
 
 
-@pytest.mark.parametrize("limits", [{}, LARGE])
+@pytest.mark.parametrize("limits", [Limits(), LARGE])
 def test_naive_bayes_labels(spark, limits):
     training = spark.createDataFrame(TRAINING, "text string, label string")
     words = fx.clean_words(F.col("text"))
     model = op.train_nb(training, "label", words)
     texts = docs(spark, "bad bad", "good", "", "unseen words", "book")
-    found = {r.Id: r.label for r in op.predict_nb(texts, model, ["Id"], words, **limits).collect()}
+    found = {r.Id: r.label for r in op.predict_nb(texts, model, ["Id"], words, limits=limits).collect()}
     assert found == {0: "negative", 1: "positive", 2: "positive", 3: "positive", 4: "positive"}
 
 
@@ -121,7 +122,7 @@ def test_equal_scores_go_to_the_first_label(spark):
     assert {r.label for r in found.collect()} == {"a"}
 
 
-@pytest.mark.parametrize("limits", [{}, LARGE])
+@pytest.mark.parametrize("limits", [Limits(), LARGE])
 def test_tagger(spark, limits):
     tagged = spark.createDataFrame(
         [("run", "V"), ("run", "N"), ("run", "V"), ("sing", "V"), ("king", "N"), ("ring", "N"),
@@ -132,13 +133,13 @@ def test_tagger(spark, limits):
     assert tagger.default == "N" and tagger.tokens.count() == 5
     texts = docs(spark, "run tie thing xyz", "", "sing king")
     words = fx.tokenize(F.col("text"))
-    found = op.tag_tokens(texts, tagger, ["Id"], words, **limits)
+    found = op.tag_tokens(texts, tagger, ["Id"], words, limits=limits)
     assert {r.Id: r.pos_tags for r in found.collect()} == {
         0: ["V", "A", "N", "N"], 1: [], 2: ["V", "N"],
     }
 
 
-@pytest.mark.parametrize("limits", [{}, LARGE])
+@pytest.mark.parametrize("limits", [Limits(), LARGE])
 def test_annotations(spark, limits):
     training = spark.createDataFrame(TRAINING, "text string, label string")
     mood = plans.train_sentiment(training)
@@ -149,7 +150,7 @@ def test_annotations(spark, limits):
     tagger = op.train_tagger(spark.createDataFrame([("the", "D"), ("book", "N"), ("buch", "N")],
                                                    "token string, tag string"))
     texts = docs(spark, "the bad book", "das buch", "", None)
-    notes = plans.annotate_reviews(texts, mood, tongue, tagger, **limits)
+    notes = plans.annotate_reviews(texts, mood, tongue, tagger, limits=limits)
     assert notes.columns == ["Id", "sentiment", "language", "pos"]
     assert {r.Id: tuple(r)[1:] for r in notes.collect()} == {
         0: ("negative", "en", ["D", "N", "N"]),
@@ -178,7 +179,7 @@ def test_no_python_in_the_plans(spark, plan):
         assert "EvalPython" not in text and "InPandas" not in text
 
 
-@pytest.mark.parametrize("limits", [{}, LARGE])
+@pytest.mark.parametrize("limits", [Limits(), LARGE])
 def test_rows_need_no_key(spark, limits):
     """Ids that repeat, and copies, keep one result for each row."""
     training = spark.createDataFrame(TRAINING, "text string, label string")
@@ -195,14 +196,14 @@ def test_rows_need_no_key(spark, limits):
     assert stats == {"T": (5, 3, 60.0, 3.25), None: (1, 0, 0.0, 5.0)}
 
     dictionary = spark.createDataFrame([("books", "book")], "form string, lemma string")
-    lemmas = plans.review_lemmas(reviews, dictionary, **limits).collect()
+    lemmas = plans.review_lemmas(reviews, dictionary, limits=limits).collect()
     assert sorted(map(str, (r.result for r in lemmas))) == sorted(
         map(str, [["bad", "book"], ["good"], ["good"], ["good", "good"], ["bad"], ["good"]])
     )
     tongue = op.train_nb(training, "label", fx.clean_words(F.col("text")))
     tagger = op.train_tagger(spark.createDataFrame([("bad", "J"), ("book", "N")],
                                                    "token string, tag string"))
-    notes = plans.annotate_reviews(reviews, mood, tongue, tagger, **limits).collect()
+    notes = plans.annotate_reviews(reviews, mood, tongue, tagger, limits=limits).collect()
     assert sorted(str((r.Id, r.sentiment, r.pos)) for r in notes) == sorted(map(str, [
         ("1", "negative", ["J", "N"]), ("1", "positive", ["J"]), ("1", "positive", ["J"]),
         ("1", "positive", ["J", "J"]), ("1", "negative", ["J"]), (None, "positive", ["J"]),
