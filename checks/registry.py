@@ -196,7 +196,8 @@ def lemmatize(spark, sf):
 
 def review_lemmas(spark, sf):
     dictionary = sources.materialize(_dictionary(spark, sf), "lemmas")
-    return _listed(plans.review_lemmas(given.review_texts(spark, sf), dictionary), ["Id"], "result", "lemma")
+    found = plans.review_lemmas(given.review_texts(spark, sf), dictionary)
+    return _listed(found, ["Id"], "result", "lemma")
 
 
 def top_words(spark, sf):

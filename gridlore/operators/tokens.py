@@ -11,8 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# 128 bits that stand for all words of a text.
-SAME_WORDS = ["_same1", "_same2"]
+# 128 bits that stand for all words of a text, and a part of the input. Copies
+# in different parts stay apart, so that no single task repeats all of them.
+SAME_WORDS = ["_same1", "_same2", "_part"]
+PARTS = 1024
+# More copies of one row than this are shared out among tasks.
+CHUNK = 1_000_000
 
 
 def word_count(docs: DataFrame, words: Column, min_length: int = 3) -> DataFrame:
@@ -40,7 +44,9 @@ def token_rows(
     """
     listed = docs.select(*keep, *(by or []), words.alias("_words"))
     if by is None:
-        marks = [mark.alias(name) for mark, name in zip(same_text(F.col("_words")), SAME_WORDS)]
+        part = F.pmod(F.spark_partition_id(), F.lit(PARTS))
+        marks = [*same_text(F.col("_words")), part]
+        marks = [mark.alias(name) for mark, name in zip(marks, SAME_WORDS)]
         listed = listed.select("*", *marks)
     return listed.select(
         *keep, *(by or SAME_WORDS), F.posexplode_outer("_words").alias("pos", "token")
@@ -67,6 +73,21 @@ def repeat_copies(groups: DataFrame, number: str) -> DataFrame:
     return groups.withColumn("_copy", F.explode(times)).drop("_copy", number)
 
 
+def repeat_many(groups: DataFrame, number: str, chunk: int = CHUNK) -> DataFrame:
+    """``repeat_copies`` where one row may have very many copies."""
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(number) - 1) / chunk))
+    left_over = F.col(number) - F.col("_chunk") * chunk
+    shared = (
+        groups.where(F.col(number) > chunk)
+        .withColumn("_chunk", F.explode(chunks))
+        .withColumn(number, F.least(left_over, F.lit(chunk).cast("bigint")))
+        .repartition(*groups.columns, "_chunk")
+        .drop("_chunk")
+    )
+    few = groups.where(F.col(number) <= chunk)
+    return repeat_copies(few.unionByName(shared), number)
+
+
 def regroup(
     rows: DataFrame, keep: Sequence[str], value: str, out: str, by: Sequence[str] | None = None
 ) -> DataFrame:

@@ -24,7 +24,10 @@ def content_words(text: Column, stopwords: Sequence[str] = ENGLISH_STOP_WORDS) -
 
 
 def review_lemmas(
-    reviews: DataFrame, dictionary: DataFrame, keep: Sequence[str] = ("Id",), limits: Limits = DEFAULT
+    reviews: DataFrame,
+    dictionary: DataFrame,
+    keep: Sequence[str] = ("Id",),
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``(*keep, result)``: the lemmas of each review with a text."""
     texts = reviews.where(F.col("text").isNotNull())
@@ -73,14 +76,13 @@ def annotate_reviews(
     # Hashes pass over NULLs, so say which columns are NULL.
     row = F.struct("text", *keep, *[F.col(name).isNull() for name in keep])
     texts = reviews.where(F.col("text").isNotNull()).withColumns(dict(zip(marks, same_text(row))))
-    moods = predict_sentiment(texts, sentiment, copies_as="_moods", by=marks, limits=limits)
+    words, tokens = clean_words(F.col("text")), tokenize(F.col("text"))
+    by_row = {"by": marks, "limits": limits}
+    moods = predict_sentiment(texts, sentiment, copies_as="_moods", **by_row)
     languages = predict_nb(
-        texts, language, [], clean_words(F.col("text")), "language",
-        copies_as="_languages", by=marks, limits=limits,
-    )
-    tags = tag_tokens(
-        texts, tagger, keep, tokenize(F.col("text")), "pos", copies_as="_copies", by=marks, limits=limits
+        texts, language, [], words, "language", copies_as="_languages", **by_row
     )
+    tags = tag_tokens(texts, tagger, keep, tokens, "pos", copies_as="_copies", **by_row)
     notes = tags.join(moods, marks).join(languages, marks)
     return repeat_copies(notes.select(*keep, "sentiment", "language", "pos", "_copies"), "_copies")
 

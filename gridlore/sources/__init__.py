@@ -11,12 +11,12 @@ from gridlore.sources.files import (
     write_parquet,
     write_quoted_csv,
 )
-from gridlore.sources.shared import materialize, scratch_path, spread, with_row_id
+from gridlore.sources.shared import materialize, scratch_path, spread
 from gridlore.sources.views import preview, register_views, row_count, sample_rows
 
 __all__ = [
     "PEOPLE_SCHEMA", "STATUS_SCHEMA", "as_books", "as_reviews", "read_books",
     "read_people", "read_quoted_csv", "read_reviews", "write_parquet",
-    "write_quoted_csv", "materialize", "scratch_path", "spread", "with_row_id",
+    "write_quoted_csv", "materialize", "scratch_path", "spread",
     "preview", "register_views", "row_count", "sample_rows",
 ]

@@ -10,7 +10,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridlore.sources.files import write_parquet
 
@@ -39,16 +38,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return write_parquet(df, scratch_path(df.sparkSession, name))
 
 
-def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Give each row a number of its own, kept in a written table.
-
-    Review files identify the book and not the review, while the text
-    operators need one key per review. The table is written because row
-    numbers may change when rows are computed again.
-    """
-    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows")
-
-
 def spread(df: DataFrame, *key: str) -> DataFrame:
     """Use all cores for an input that comes in fewer pieces than there are.
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from gridlore.operators.skew import Limits, fits_broadcast, hot_keys, lookup, salted_join
+from gridlore.operators.tokens import repeat_many
 
 
 def skewed(spark):
@@ -52,7 +53,8 @@ def test_hot_key_and_missing_keys_are_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", False)
     spark.conf.set("spark.sql.shuffle.partitions", 8)
     try:
-        joined = salted_join(skewed(spark), other(spark), ["k"], "left", limits=Limits(parts=64, min_rows=2))
+        limits = Limits(parts=64, min_rows=2)
+        joined = salted_join(skewed(spark), other(spark), ["k"], "left", limits=limits)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for name in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
@@ -70,4 +72,11 @@ def test_lookup_by_size(spark, plan):
     assert not fits_broadcast(table, Limits(max_rows=1199))
     assert not fits_broadcast(table, Limits(max_bytes=20_000))
     large = lookup(facts, table, ["k"], Limits(max_rows=10, parts=30, min_rows=2))
-    assert rows(large) == rows(lookup(facts, table, ["k"])) == rows(facts.join(table, "k", "left"))
+    plain = facts.join(table, "k", "left")
+    assert rows(large) == rows(lookup(facts, table, ["k"])) == rows(plain)
+
+
+def test_many_copies_are_shared_out(spark):
+    groups = spark.createDataFrame([("a", 1), ("b", 25), ("c", 10)], "id string, n long")
+    repeated = repeat_many(groups.withColumn("copies", F.col("n")), "copies", chunk=10)
+    assert rows(repeated.groupBy("id", "n").count()) == [(1, "a", 1), (10, "c", 10), (25, "b", 25)]

@@ -97,13 +97,6 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, plan):
     assert "ReadSchema: struct<Id:string,Title:string>" in text
 
 
-def test_row_ids_are_unique_and_stay(spark):
-    rows = sources.with_row_id(spark.range(50).select(F.lit("book").alias("Id")).repartition(4))
-    first = sorted(r.row_id for r in rows.collect())
-    assert len(set(first)) == 50
-    assert sorted(r.row_id for r in rows.select("row_id").collect()) == first
-
-
 def test_views_preview_and_count(spark):
     sources.register_views({"ratings": spark.range(30)})
     rows = spark.sql("SELECT id FROM ratings")

@@ -59,7 +59,10 @@ def test_negation(spark, text, words):
 
 
 def test_negated_stop_words_go_too(spark):
-    words = value(spark, "not the best, the end", lambda t: fx.mark_negation(t, drop_words=["the", "not"]))
+    dropped = ["the", "not"]
+    words = value(
+        spark, "not the best, the end", lambda t: fx.mark_negation(t, drop_words=dropped)
+    )
     assert words == ["not_best", "end"]
     assert value(spark, "not good good", plans.sentiment_words) == ["not_good"]
     plain = lambda t: plans.sentiment_words(t, negation=False)
@@ -192,7 +195,8 @@ def test_rows_need_no_key(spark, limits):
         ("bad", "negative"), ("bad book", "negative"), ("good", "positive"), ("good", "positive"),
         ("good", "positive"), ("good good", "positive"),
     ]
-    stats = {r.Title: tuple(r)[1:] for r in plans.title_sentiment(reviews, mood, limits=limits).collect()}
+    report = plans.title_sentiment(reviews, mood, limits=limits).collect()
+    stats = {r.Title: tuple(r)[1:] for r in report}
     assert stats == {"T": (5, 3, 60.0, 3.25), None: (1, 0, 0.0, 5.0)}
 
     dictionary = spark.createDataFrame([("books", "book")], "form string, lemma string")
