@@ -28,6 +28,9 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def difference(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
     """What differs between a query and its SQL; None if nothing does."""
     result = QUERIES[name](spark, sf_dir)
@@ -37,6 +40,10 @@ def difference(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
     wanted = rows_of(columns, cursor.fetchall())
     if sorted(columns) != sorted(result.columns):
         return f"columns {result.columns} and {columns}"
+    kinds = {name: KINDS[kind] for name, kind in result.dtypes}
+    wanted_kinds = {column[0]: str(column[1]) for column in cursor.description}
+    if kinds != wanted_kinds:
+        return f"types {kinds} and {wanted_kinds}"
     if found != wanted:
         return (
             f"{found.total()} and {wanted.total()} rows; "

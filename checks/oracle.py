@@ -72,7 +72,8 @@ def _pieces(name: str, source: str, key: str, column: str, value: str) -> dict[s
             FROM {name}_lists""",
         name: f"""
             SELECT {key}, {column},
-                   row_number() OVER (PARTITION BY {key} ORDER BY place) - 1 AS pos
+                   CAST(row_number() OVER (PARTITION BY {key} ORDER BY place) - 1
+                        AS INTEGER) AS pos
             FROM (SELECT {key}, place, {value} AS {column} FROM {name}_pieces)
             WHERE {column} <> ''""",
     }
@@ -267,7 +268,8 @@ SELECTS = {
     "clean_reviews": "SELECT * FROM cleaned",
     "score_stats": """
         SELECT score, count(*) AS num_reviews, avg(length(text)) AS avg_length,
-               min(length(text)) AS min_length, max(length(text)) AS max_length
+               CAST(min(length(text)) AS INTEGER) AS min_length,
+               CAST(max(length(text)) AS INTEGER) AS max_length
         FROM cleaned GROUP BY score""",
     "user_stats": """
         SELECT "User_id", count(*) AS num_reviews, avg(score) AS avg_score,
@@ -282,7 +284,7 @@ SELECTS = {
     "tokenize": 'SELECT "Id", pos, token AS value FROM tokens',
     "normalize_tokens": 'SELECT "Id", pos, word AS value FROM words',
     "remove_stopwords": """
-        SELECT "Id", row_number() OVER (PARTITION BY "Id" ORDER BY pos) - 1 AS pos,
+        SELECT "Id", CAST(row_number() OVER (PARTITION BY "Id" ORDER BY pos) - 1 AS INTEGER) AS pos,
                word AS value FROM content""",
     "text_features": """
         SELECT t."Id", coalesce(a.n, 0) AS token, coalesce(b.n, 0) AS normalized,
@@ -300,7 +302,7 @@ SELECTS = {
         SELECT "Id", pos, coalesce(lemma, word) AS lemma
         FROM words LEFT JOIN lemma_dict ON word = form""",
     "review_lemmas": """
-        SELECT "Id", row_number() OVER (PARTITION BY "Id" ORDER BY pos) - 1 AS pos,
+        SELECT "Id", CAST(row_number() OVER (PARTITION BY "Id" ORDER BY pos) - 1 AS INTEGER) AS pos,
                coalesce(lemma, word) AS lemma
         FROM content LEFT JOIN lemma_dict ON word = form""",
     "top_words": """
