@@ -3,13 +3,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from gridlore.llm import packing, token_counts, token_files
+from gridlore.llm import fingerprints, near_dedup, packing, sharding, token_counts, token_files
 
 
 def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op5_shards(spark, sf):
+    return sharding.shard(_table(spark, sf, "documents"), shards=8)
+
+
+def op6_near_classes(spark, sf):
+    return near_dedup.near_classes(_table(spark, sf, "documents")).select("doc_id", "class_id")
+
+
 def op7_token_files(spark, sf):
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_files.token_files(_table(spark, sf, "documents"), path, end=2)
@@ -20,12 +28,20 @@ def op8_pack(spark, sf):
     return packing.pack(_table(spark, sf, "documents"), path, size=1024, end=0).drop("ids")
 
 
+def op9_fingerprints(spark, sf):
+    return fingerprints.fingerprint_documents(_table(spark, sf, "documents"))
+
+
 def op10_token_counts(spark, sf):
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.count_tokens(_table(spark, sf, "documents"), path, limit=2048)
 
 
 QUERIES = {
-    query.__name__: query for query in (op7_token_files, op8_pack, op10_token_counts)
+    query.__name__: query
+    for query in (
+        op5_shards, op6_near_classes, op7_token_files, op8_pack, op9_fingerprints,
+        op10_token_counts,
+    )
 }
 ORACLE: dict[str, str] = {}
