@@ -3,13 +3,25 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from gridlore.llm import fingerprints, near_dedup, packing, sharding, token_counts, token_files
+from gridlore.llm import (
+    fingerprints,
+    near_dedup,
+    packing,
+    passages,
+    sharding,
+    token_counts,
+    token_files,
+)
 
 
 def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op4_passages(spark, sf):
+    return passages.repeated_passages(_table(spark, sf, "documents")).drop("mark")
+
+
 def op5_shards(spark, sf):
     return sharding.shard(_table(spark, sf, "documents"), shards=8)
 
@@ -40,7 +52,7 @@ def op10_token_counts(spark, sf):
 QUERIES = {
     query.__name__: query
     for query in (
-        op5_shards, op6_near_classes, op7_token_files, op8_pack, op9_fingerprints,
+        op4_passages, op5_shards, op6_near_classes, op7_token_files, op8_pack, op9_fingerprints,
         op10_token_counts,
     )
 }

@@ -12,8 +12,8 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 def word_hashes(text: Column) -> Column:
     """The words of a text in lower case, each as 64 bits; no text has none."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    hashed = F.transform(words, lambda word: F.xxhash64(word))
+    words = F.split(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}]+")
+    hashed = F.transform(words, lambda word: F.xxhash64(F.lower(word)))
     # A text that begins or ends with another character has an empty word there.
     return F.array_remove(hashed, F.xxhash64(F.lit("")))
 
