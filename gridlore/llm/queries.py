@@ -4,6 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from gridlore.llm import (
+    decontamination,
     fingerprints,
     near_dedup,
     packing,
@@ -18,6 +19,11 @@ def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_decontamination(spark, sf):
+    docs, benchmark = _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
+    return decontamination.contaminated(docs, benchmark).drop("mark")
+
+
 def op4_passages(spark, sf):
     return passages.repeated_passages(_table(spark, sf, "documents")).drop("mark")
 
@@ -52,7 +58,8 @@ def op10_token_counts(spark, sf):
 QUERIES = {
     query.__name__: query
     for query in (
-        op4_passages, op5_shards, op6_near_classes, op7_token_files, op8_pack, op9_fingerprints,
+        op3_decontamination, op4_passages, op5_shards, op6_near_classes,
+        op7_token_files, op8_pack, op9_fingerprints,
         op10_token_counts,
     )
 }
