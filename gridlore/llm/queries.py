@@ -12,6 +12,7 @@ from gridlore.llm import (
     sharding,
     token_counts,
     token_files,
+    toxicity,
 )
 
 
@@ -19,6 +20,12 @@ def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_toxicity(spark, sf):
+    docs = _table(spark, sf, "documents")
+    model = toxicity.train(docs, _table(spark, sf, "labels"))
+    return toxicity.score_documents(docs, model)
+
+
 def op3_decontamination(spark, sf):
     docs, benchmark = _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
     return decontamination.contaminated(docs, benchmark).drop("mark")
@@ -58,7 +65,7 @@ def op10_token_counts(spark, sf):
 QUERIES = {
     query.__name__: query
     for query in (
-        op3_decontamination, op4_passages, op5_shards, op6_near_classes,
+        op1_toxicity, op3_decontamination, op4_passages, op5_shards, op6_near_classes,
         op7_token_files, op8_pack, op9_fingerprints,
         op10_token_counts,
     )
