@@ -91,22 +91,25 @@ class Automaton:
         return found
 
     def find(self, word: str) -> tuple[int, int] | None:
-        """The best term for a word, and the edits between them."""
+        """The term for a word and the edits between them: least edits, then most weight."""
         state, best = self.begin, None
         for letter in word:
             following = self.steps[state].get(letter)
             state = self._step(state, letter) if following is None else following
             if state < 0:
                 return best
-            if self.stem_at and best is None:
-                for node, spent in self.states[state].items():
-                    if not spent and node in self.stem_at:
-                        best = self.stem_at[node], 0
+            for node, spent in self.states[state].items():
+                if not spent and node in self.stem_at:
+                    best = self._better(best, self.stem_at[node], 0)
         for node, spent in self.states[state].items():
             number = self.word_at.get(node)
             if number is not None and spent <= edits_allowed(self.terms[number]):
-                if best is None or (spent, number) < best[::-1]:
-                    best = number, spent
+                best = self._better(best, number, spent)
+        return best
+
+    def _better(self, best: tuple[int, int] | None, number: int, spent: int) -> tuple[int, int]:
+        if best is None or (spent, -self.weights[number]) < (best[1], -self.weights[best[0]]):
+            return number, spent
         return best
 
 
@@ -226,8 +229,9 @@ def learn_lexicon(labelled: DataFrame, max_terms: int = 2000, least: int = 4) ->
 
     Counted are texts, not occurrences, and of copies and near copies one: texts
     whose least triple of words, by hash, is the same. A term must be in ``least`` toxic texts,
-    at least ten times as likely there as in others, and too rarely elsewhere to
-    be chance, given how many terms are looked at.
+    at least four times as likely there as in others, and too rarely elsewhere to
+    be chance, given how many terms are looked at. A longer term is taken beside
+    its beginning only if it tells more.
     """
     hashed = F.transform(F.split(F.lower("text"), r"\s+"), lambda x: F.xxhash64(x))
     labelled = labelled.select("toxic", "text", hashed.alias("_w"))
@@ -258,22 +262,23 @@ def learn_lexicon(labelled: DataFrame, max_terms: int = 2000, least: int = 4) ->
     scored = seen.select("term", "a", "b", rate.alias("weight"), surprise.alias("surprise"))
     tried = scored.count()
     bound = 2.0 * np.log(max(2, tried)) + 8.0
-    found = scored.where((F.col("weight") > np.log(10.0)) & (F.col("surprise") > float(bound)))
+    found = scored.where((F.col("weight") > float(np.log(4.0))) & (F.col("surprise") > float(bound)))
     rows = found.orderBy(F.desc("surprise"), F.desc(F.length("term")), "term").limit(4 * max_terms).collect()
     chosen: dict[str, float] = {}
-    stems: dict[str, int] = {}
+    stems: dict[str, tuple[int, float]] = {}
     for row in rows:
         word = row["term"].removesuffix("*")
-        covered = any(word[:size] in stems for size in STEMS)
+        shorter = [stems[word[:size]][1] for size in STEMS if word[:size] in stems]
+        covered = bool(shorter) and row["weight"] <= max(shorter) + 1.0
         # A shorter beginning that says no more than a longer one only catches more by chance.
         within = row["term"].endswith("*") and sum(
-            n for stem, n in stems.items() if stem.startswith(word)
+            n for stem, (n, _) in stems.items() if stem.startswith(word)
         ) >= 0.95 * row["a"]
         if covered or within or len(chosen) >= max_terms:
             continue
         chosen[row["term"]] = float(row["weight"])
         if row["term"].endswith("*"):
-            stems[word] = row["a"]
+            stems[word] = row["a"], float(row["weight"])
     return chosen
 
 
