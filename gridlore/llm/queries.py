@@ -13,6 +13,7 @@ from gridlore.llm import (
     token_counts,
     token_files,
     toxicity,
+    transcripts,
 )
 
 
@@ -26,6 +27,10 @@ def op1_toxicity(spark, sf):
     return toxicity.score_documents(docs, model)
 
 
+def op2_chat_format(spark, sf):
+    return transcripts.format_chats(_table(spark, sf, "conversations"))
+
+
 def op3_decontamination(spark, sf):
     docs, benchmark = _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
     return decontamination.contaminated(docs, benchmark).drop("mark")
@@ -65,7 +70,7 @@ def op10_token_counts(spark, sf):
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_toxicity, op3_decontamination, op4_passages, op5_shards, op6_near_classes,
+        op1_toxicity, op2_chat_format, op3_decontamination, op4_passages, op5_shards, op6_near_classes,
         op7_token_files, op8_pack, op9_fingerprints,
         op10_token_counts,
     )
