@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _WORD = re.compile(r"\w+")
-_OPEN, _CLOSE = "«“„‹", "»”›"
+_QUOTES = ("«»", "»«", "“”", "„“", "‹›")
 STEMS = range(4, 8)
 WINDOW = 10
 
@@ -138,8 +138,7 @@ def _quoted(text: str, start: int, end: int) -> bool:
         return True
     if before.count('"') % 2 and '"' in after:
         return True
-    opened = sum(before.count(x) for x in _OPEN) - sum(before.count(x) for x in _CLOSE)
-    return opened > 0 and any(x in after for x in _CLOSE)
+    return any(before.rfind(a) > before.rfind(b) and b in after for a, b in _QUOTES)
 
 
 def features(text: str, words: _Words) -> list[float]:
