@@ -30,6 +30,7 @@ VIEWS = {
     "pairs": """
         SELECT id, cid FROM people JOIN connected
         ON id <> cid AND sqrt(pow(x - cx, 2) + pow(y - cy, 2)) <= 6.0""",
+    "far_people": "SELECT id, x + 1e17 AS x, y, status FROM people_status",
     "reviews": """
         SELECT doc_id AS "Id",
                CASE WHEN doc_id % 50 <> 7 THEN source END AS "Title",
@@ -168,10 +169,12 @@ VIEWS |= {
         SELECT doc_id, text, CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS label
         FROM documents JOIN labels USING (doc_id)""",
     "vocabulary": "SELECT DISTINCT word FROM words",
-    "lemma_dict": r"""
-        SELECT a.word AS form, b.word AS lemma FROM vocabulary a JOIN vocabulary b
-        ON regexp_matches(a.word, '(s|ed|ing)$')
-           AND b.word = regexp_replace(a.word, '(s|ed|ing)$', '')""",
+    "stems": " UNION ALL ".join(
+        f"SELECT word AS form, left(word, length(word) - {len(ending)}) AS lemma "
+        f"FROM vocabulary WHERE ends_with(word, '{ending}')"
+        for ending in ("s", "ed", "ing")
+    ),
+    "lemma_dict": "SELECT form, lemma FROM stems JOIN vocabulary ON lemma = word",
     "content": "SELECT * FROM words WHERE word NOT IN (SELECT word FROM stops)",
 }
 VIEWS |= _bayes(
@@ -258,6 +261,10 @@ SELECTS = {
         'SELECT "Id", "Title", "User_id", score FROM reviews ORDER BY "Id" LIMIT 20',
     "sample_reviews": 'SELECT "Id", text FROM texts ORDER BY "Id" LIMIT 100',
     "distance_join": "SELECT id, cid FROM pairs",
+    "distance_join_far": """
+        SELECT p.id, c.id AS cid FROM far_people p JOIN far_people c
+        ON p.id <> c.id AND sqrt(pow(p.x - c.x, 2) + pow(p.y - c.y, 2)) <= 6.0
+        WHERE c.status = 'yes'""",
     "pair_count": "SELECT count(*) AS n FROM pairs",
     "near_ids": "SELECT DISTINCT id FROM pairs",
     "near_people": "SELECT * FROM people WHERE id IN (SELECT id FROM pairs)",
@@ -348,7 +355,11 @@ def _with_views(select: str) -> str:
 
     for name in sorted(_names(select)):
         add(name)
-    views = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in ordered)
+    # The vocabulary is used several times, and its size can't be guessed from the SQL.
+    views = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name == 'vocabulary' else ''}({VIEWS[name].strip()})"
+        for name in ordered
+    )
     return f"WITH {views}\n{select.strip()}" if views else select.strip()
 
 

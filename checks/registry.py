@@ -86,6 +86,12 @@ def distance_join(spark, sf):
     return op.distance_join(given.people(spark, sf), given.connected(spark, sf))
 
 
+def distance_join_far(spark, sf):
+    """So far out that doubles are 16 apart."""
+    far = given.people_status(spark, sf).withColumn("x", F.col("x") + 1e17)
+    return op.distance_join(far, far.where(F.col("status") == "yes"))
+
+
 def pair_count(spark, sf):
     return sources.row_count(distance_join(spark, sf))
 
@@ -281,7 +287,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         scan_people_csv, scan_status_csv, scan_header_substring, scan_reviews_csv,
         scan_books_csv, parquet_roundtrip, view_sql_preview, sample_reviews,
-        distance_join, pair_count, near_ids, near_people, neighbor_count,
+        distance_join, distance_join_far, pair_count, near_ids, near_people, neighbor_count,
         clean_reviews, score_stats, user_stats, explode_categories,
         reviews_by_category, user_category_stats, user_category_stats_active,
         tokenize, normalize_tokens, remove_stopwords, text_features,

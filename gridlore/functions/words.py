@@ -68,10 +68,10 @@ def mark_negation(
     """
     # Keep letters, blanks, and the marks at the end of a token.
     kept = F.regexp_replace(text, rf"[^\pL+\s]*({_ENDS})(?=\s|\z)|[^\pL+\s]+", "$1")
+    # Each negator stands for itself, whatever characters it has.
+    quoted = "|".join(rf"\Q{word}\E" for word in negators)
     opened = F.regexp_replace(
-        F.concat(F.lit(" "), F.lower(kept)),
-        rf"(?<=\s)(?=(?:{'|'.join(negators)})(?:\s|{_ENDS}|\z))",
-        _OPEN,
+        F.concat(F.lit(" "), F.lower(kept)), rf"(?<=\s)(?=(?:{quoted})(?:\s|{_ENDS}|\z))", _OPEN
     )
 
     def mark_piece(piece: Column, number: Column) -> Column:

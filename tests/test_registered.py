@@ -3,6 +3,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, difference
+from checks.oracle import ORACLE
+from checks.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,10 +15,12 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, tables, name):
     assert difference(spark, tables, SF_DIR, name) is None
 
