@@ -162,6 +162,7 @@ VIEWS |= _raw("turn_tokens", "conversations", "conv_id, turn")
 VIEWS |= _words("turn_words", "conversations", "conv_id, turn")
 VIEWS |= _raw("doc_tokens", "documents", "doc_id, lang")
 VIEWS |= _words("doc_words", "documents", "doc_id, lang")
+VIEWS |= _words("item_words", "benchmark", "item_id")
 VIEWS |= _marked("marked", "reviews", '"Id"')
 VIEWS |= _marked("trained", "labelled", "doc_id, label")
 VIEWS |= {
@@ -293,13 +294,19 @@ SELECTS = {
     "remove_stopwords": """
         SELECT "Id", CAST(row_number() OVER (PARTITION BY "Id" ORDER BY pos) - 1 AS INTEGER) AS pos,
                word AS value FROM content""",
+    "remove_stopwords_named": """
+        SELECT "Id", CAST(row_number() OVER (PARTITION BY "Id" ORDER BY pos) - 1 AS INTEGER) AS pos,
+               word AS value
+        FROM words WHERE word NOT IN (SELECT word FROM item_words)""",
     "text_features": """
-        SELECT t."Id", coalesce(a.n, 0) AS token, coalesce(b.n, 0) AS normalized,
-               coalesce(c.n, 0) AS "cleanTokens"
+        SELECT t."Id", coalesce(a.n, '') AS token, coalesce(b.n, '') AS normalized,
+               coalesce(c.n, '') AS "cleanTokens"
         FROM texts t
-        LEFT JOIN (SELECT "Id", count(*) AS n FROM tokens GROUP BY "Id") a ON t."Id" = a."Id"
-        LEFT JOIN (SELECT "Id", count(*) AS n FROM words GROUP BY "Id") b ON t."Id" = b."Id"
-        LEFT JOIN (SELECT "Id", count(*) AS n FROM content GROUP BY "Id") c
+        LEFT JOIN (SELECT "Id", string_agg(token, ' ' ORDER BY pos) AS n FROM tokens GROUP BY "Id") a
+        ON t."Id" = a."Id"
+        LEFT JOIN (SELECT "Id", string_agg(word, ' ' ORDER BY pos) AS n FROM words GROUP BY "Id") b
+        ON t."Id" = b."Id"
+        LEFT JOIN (SELECT "Id", string_agg(word, ' ' ORDER BY pos) AS n FROM content GROUP BY "Id") c
         ON t."Id" = c."Id" """,
     "mark_negation": 'SELECT "Id", word, count(*) AS n FROM marked GROUP BY "Id", word',
     "word_count": """
@@ -332,6 +339,9 @@ SELECTS = {
         SELECT t."Id", m.label AS sentiment, l.label AS language, t.pos, t.tag
         FROM ({_tagged("tokens", '"Id"')}) t JOIN moods m ON t."Id" = m."Id"
         JOIN languages l ON t."Id" = l."Id" """,
+    "pipeline_annotations": """
+        SELECT l."Id", l.label AS language, m.label AS sentiment
+        FROM languages l JOIN moods m ON l."Id" = m."Id" """,
     "title_sentiment": _title_sentiment('b."Title" = p."Title"'),
     "title_sentiment_counting_null":
         _title_sentiment('b."Title" IS NOT DISTINCT FROM p."Title"'),

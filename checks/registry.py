@@ -164,6 +164,13 @@ def remove_stopwords(spark, sf):
     return _listed(_texts(spark, sf).select("Id", words.alias("words")), ["Id"], "words", "value")
 
 
+def remove_stopwords_named(spark, sf):
+    """The list is a table: all words of the benchmark."""
+    words = fx.clean_words(F.col("text"))
+    listed = given.table(spark, sf, "benchmark").select(F.explode(words).alias("word"))
+    return _listed(op.drop_words(_texts(spark, sf), ["Id"], words, listed), ["Id"], "words", "value")
+
+
 def text_features(spark, sf):
     steps = [
         ("token", "text", fx.tokenize),
@@ -171,8 +178,7 @@ def text_features(spark, sf):
         ("cleanTokens", "normalized", fx.remove_stopwords),
     ]
     features = plans.text_features(_texts(spark, sf), steps)
-    sizes = [F.size(out).cast("bigint").alias(out) for out, _, _ in steps]
-    return features.select("Id", *sizes)
+    return features.select("Id", *[F.array_join(out, " ").alias(out) for out, _, _ in steps])
 
 
 def mark_negation(spark, sf):
@@ -273,6 +279,17 @@ def annotate_reviews(spark, sf):
     return notes.select("Id", "sentiment", "language", F.posexplode("pos").alias("pos", "tag"))
 
 
+def pipeline_annotations(spark, sf):
+    """Trained models as steps among others."""
+    language, mood = _language_model(spark, sf), _sentiment_model(spark, sf)
+    steps = [
+        ("words", "text", fx.clean_words),
+        lambda docs: op.predict_nb(docs, language, ["Id", "text"], F.col("words"), "language"),
+        lambda docs: plans.predict_sentiment(docs, mood, ["Id", "language"]),
+    ]
+    return plans.text_features(_texts(spark, sf), steps)
+
+
 def title_sentiment(spark, sf):
     return plans.title_sentiment(given.review_texts(spark, sf), _sentiment_model(spark, sf))
 
@@ -290,11 +307,11 @@ QUERIES: dict[str, Query] = {
         distance_join, distance_join_far, pair_count, near_ids, near_people, neighbor_count,
         clean_reviews, score_stats, user_stats, explode_categories,
         reviews_by_category, user_category_stats, user_category_stats_active,
-        tokenize, normalize_tokens, remove_stopwords, text_features,
+        tokenize, normalize_tokens, remove_stopwords, remove_stopwords_named, text_features,
         mark_negation, word_count,
         build_lemma_dict, lemmatize, review_lemmas, top_words,
         train_language, detect_language, detect_turn_language,
         train_sentiment, predict_sentiment, train_tagger, tag_tokens,
-        annotate_reviews, title_sentiment, title_sentiment_counting_null,
+        annotate_reviews, pipeline_annotations, title_sentiment, title_sentiment_counting_null,
     )
 }

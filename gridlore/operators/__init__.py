@@ -12,7 +12,7 @@ from gridlore.operators.reviews import (
 )
 from gridlore.operators.skew import Limits, balanced_join, lookup, salted_join
 from gridlore.operators.tagging import Tagger, tag_tokens, train_tagger
-from gridlore.operators.tokens import word_count
+from gridlore.operators.tokens import drop_words, word_count
 
 __all__ = [
     "NaiveBayes", "predict_nb", "train_nb", "build_lemma_dict", "lemma_count",
@@ -20,5 +20,5 @@ __all__ = [
     "neighbor_count", "clean_reviews", "explode_categories", "reviews_by_category",
     "score_stats", "user_category_stats", "user_stats", "Limits", "balanced_join",
     "lookup", "salted_join",
-    "Tagger", "tag_tokens", "train_tagger", "word_count",
+    "Tagger", "tag_tokens", "train_tagger", "drop_words", "word_count",
 ]

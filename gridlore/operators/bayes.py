@@ -17,7 +17,6 @@ from gridlore.operators.tokens import copies, group_columns, repeat_copies, toke
 from gridlore.sources.shared import materialize
 
 SCALE = 1_000_000
-MAX_LABELS = 1000
 
 
 @dataclass(frozen=True)
@@ -41,17 +40,21 @@ class NaiveBayes:
         return self.weights.select("w", F.inline(F.array(*pairs)))
 
 
-def train_nb(docs: DataFrame, label: str, words: Column) -> NaiveBayes:
+def train_nb(
+    docs: DataFrame, label: str, words: Column, max_labels: int = 1000
+) -> NaiveBayes:
     """Train on texts with a label; ``words`` is the array of features.
 
-    Texts without a label are left out. Weights are add-one smoothed.
+    Texts without a label are left out. Weights are add-one smoothed. Each label
+    is a column of the model, so their number is bounded: more than
+    ``max_labels`` are refused.
     """
     known = docs.where(F.col(label).isNotNull())
-    shares = known.groupBy(label).count().orderBy(label).limit(MAX_LABELS + 1).collect()
+    shares = known.groupBy(label).count().orderBy(label).limit(max_labels + 1).collect()
     if not shares:
         raise ValueError("no labelled texts to train on")
-    if len(shares) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels in {label}")
+    if len(shares) > max_labels:
+        raise ValueError(f"more than {max_labels} labels in {label}")
     labels = tuple(row[0] for row in shares)
     texts = sum(row[1] for row in shares)
     priors = tuple(round(math.log(row[1] / texts) * SCALE) for row in shares)

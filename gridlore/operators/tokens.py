@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.operators.skew import DEFAULT, Limits, lookup
+
 # 128 bits that stand for all words of a text, and a part of the input. Copies
 # in different parts stay apart, so that no single task repeats all of them.
 SAME_WORDS = ["_same1", "_same2", "_part"]
@@ -103,3 +105,25 @@ def regroup(
     )
     values = F.transform(F.sort_array("_placed"), lambda p: p[value])
     return groups.select(*keep, *(by or []), values.alias(out), "_copies")
+
+
+def drop_words(
+    docs: DataFrame,
+    keep: Sequence[str],
+    words: Column,
+    dropped: DataFrame,
+    out: str = "words",
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """``(*keep, out)``: the words of each text that are not in a table.
+
+    ``dropped`` has the column ``word``; case does not matter. A text of which
+    no word is left has an empty list.
+    """
+    table = dropped.select(F.lower("word").alias("_lower")).where("_lower IS NOT NULL").distinct()
+    table = table.withColumn("_dropped", F.lit(True))
+    rows = token_rows(docs, keep, words).withColumn("_lower", F.lower("token"))
+    rows = lookup(rows, table, ["_lower"], limits)
+    left = rows.withColumn("_left", F.when(F.col("_dropped").isNull(), F.col("token")))
+    groups = regroup(left, keep, "_left", "_words").withColumn(out, F.array_compact("_words"))
+    return repeat_many(groups.select(*keep, out, "_copies"), "_copies")

@@ -12,7 +12,7 @@ from gridlore.operators.bayes import NaiveBayes, predict_nb
 from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize, top_words
 from gridlore.operators.skew import DEFAULT, Limits
 from gridlore.operators.tagging import Tagger, tag_tokens
-from gridlore.operators.tokens import repeat_copies, same_text, word_count
+from gridlore.operators.tokens import repeat_many, same_text, word_count
 from gridlore.plans.sentiment import predict_sentiment
 from gridlore.sources.shared import materialize
 
@@ -84,17 +84,23 @@ def annotate_reviews(
     )
     tags = tag_tokens(texts, tagger, keep, tokens, "pos", copies_as="_copies", **by_row)
     notes = tags.join(moods, marks).join(languages, marks)
-    return repeat_copies(notes.select(*keep, "sentiment", "language", "pos", "_copies"), "_copies")
+    return repeat_many(notes.select(*keep, "sentiment", "language", "pos", "_copies"), "_copies")
 
 
-def text_features(
-    docs: DataFrame, steps: Sequence[tuple[str, str, Callable[[Column], Column]]]
-) -> DataFrame:
-    """Add a column for each step ``(new column, column it is made from, function)``.
+Step = tuple[str, str, Callable[[Column], Column]] | Callable[[DataFrame], DataFrame]
+
+
+def text_features(docs: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    """Apply steps in order.
 
-    For example ``("token", "text", tokenize)`` and then
-    ``("normalized", "token", normalize_tokens)``.
+    A step is a function from DataFrame to DataFrame, such as one that applies a
+    trained model, or ``(new column, column it is made from, function)``, for
+    example ``("token", "text", tokenize)``.
     """
-    for out, source, function in steps:
-        docs = docs.withColumn(out, function(F.col(source)))
+    for step in steps:
+        if callable(step):
+            docs = step(docs)
+        else:
+            out, source, function = step
+            docs = docs.withColumn(out, function(F.col(source)))
     return docs

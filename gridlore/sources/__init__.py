@@ -11,7 +11,7 @@ from gridlore.sources.files import (
     write_parquet,
     write_quoted_csv,
 )
-from gridlore.sources.shared import materialize, scratch_path, spread
+from gridlore.sources.shared import materialize, scratch_path, spread, written_tables
 from gridlore.sources.views import preview, register_views, row_count, sample_rows
 
 __all__ = [

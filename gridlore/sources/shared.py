@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +30,32 @@ def _shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_written: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{_shared_dir(spark)}/gridlore/{name}-{uuid.uuid4().hex}"
+    path = f"{_shared_dir(spark)}/gridlore/{name}-{uuid.uuid4().hex}"
+    for paths in _written[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def written_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was written to the shared folder inside it.
+
+    Results that read those tables must have been used or written elsewhere by
+    then. Without it, written tables stay.
+    """
+    _written.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _written.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -39,13 +64,14 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Use all cores for an input that comes in fewer pieces than there are.
+    """Use all cores for an input that comes in fewer files than there are.
 
-    Work on text is heavy for its size, so a few large pieces are worth a
-    shuffle. An input that already keeps all cores busy is left as it is.
+    Work on text is heavy for its size, so a few large files are worth a
+    shuffle. An input of more files is left as it is. Only the files are
+    listed; no rows are read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    # Only asks how many pieces there are; no rows are read.
-    if df.rdd.getNumPartitions() >= cores:
+    files = df.inputFiles()
+    if not files or len(files) >= cores:
         return df
     return df.repartition(cores, *key)
