@@ -30,6 +30,10 @@ VIEWS = {
     "pairs": """
         SELECT id, cid FROM people JOIN connected
         ON id <> cid AND sqrt(pow(x - cx, 2) + pow(y - cy, 2)) <= 6.0""",
+    "close_people": """
+        SELECT id, CAST(id AS BIGINT) % 41 / CAST(10 AS DOUBLE) AS x,
+               CAST(id AS BIGINT) % 307 / CAST(50 AS DOUBLE) AS y, status
+        FROM people_status""",
     "far_people": "SELECT id, x + 1e17 AS x, y, status FROM people_status",
     "reviews": """
         SELECT doc_id AS "Id",
@@ -273,6 +277,10 @@ SELECTS = {
         SELECT f.id, (SELECT count(*) FROM people p WHERE p.id <> f.id
                       AND sqrt(pow(f.x - p.x, 2) + pow(f.y - p.y, 2)) <= 6.0) AS n
         FROM people_status f WHERE f.status = 'yes'""",
+    "neighbor_count_crowded": """
+        SELECT f.id, (SELECT count(*) FROM close_people p WHERE p.id <> f.id
+                      AND sqrt(pow(f.x - p.x, 2) + pow(f.y - p.y, 2)) <= 6.0) AS n
+        FROM close_people f WHERE f.status = 'yes'""",
     "clean_reviews": "SELECT * FROM cleaned",
     "score_stats": """
         SELECT score, count(*) AS num_reviews, avg(length(text)) AS avg_length,

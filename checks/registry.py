@@ -109,6 +109,15 @@ def neighbor_count(spark, sf):
     return op.neighbor_count(everyone.where(F.col("status") == "yes"), everyone)
 
 
+def neighbor_count_crowded(spark, sf):
+    """All customers in a few cells, with more places in one than are compared one by one."""
+    key = F.col("id").cast("bigint")
+    everyone = given.people_status(spark, sf).withColumns(
+        {"x": (key % 41) / 10.0, "y": (key % 307) / 50.0}
+    )
+    return op.neighbor_count(everyone.where(F.col("status") == "yes"), everyone)
+
+
 # --- reviews -----------------------------------------------------------------
 
 def clean_reviews(spark, sf):
@@ -304,7 +313,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         scan_people_csv, scan_status_csv, scan_header_substring, scan_reviews_csv,
         scan_books_csv, parquet_roundtrip, view_sql_preview, sample_reviews,
-        distance_join, distance_join_far, pair_count, near_ids, near_people, neighbor_count,
+        distance_join, distance_join_far, pair_count, near_ids, near_people, neighbor_count, neighbor_count_crowded,
         clean_reviews, score_stats, user_stats, explode_categories,
         reviews_by_category, user_category_stats, user_category_stats_active,
         tokenize, normalize_tokens, remove_stopwords, remove_stopwords_named, text_features,
