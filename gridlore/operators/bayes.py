@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.operators.mapped import sums_of
 from gridlore.operators.skew import DEFAULT, Limits, lookup
-from gridlore.operators.tokens import copies, group_columns, repeat_copies, token_rows
+from gridlore.operators.tokens import copies, group_columns, repeat_many, token_rows
 from gridlore.sources.shared import materialize
 
 SCALE = 1_000_000
@@ -79,6 +80,20 @@ def train_nb(
     return NaiveBayes(labels, priors, weights)
 
 
+def score_columns(words: Column, model: NaiveBayes) -> Column:
+    """The scores of all labels as a list, with a model that fits a broadcast."""
+    names = [f"weight_{i}" for i in range(len(model.labels))]
+    sums = sums_of(words, model.weights, "w", names)
+    priors = F.array(*[F.lit(prior).cast("bigint") for prior in model.priors])
+    return F.zip_with(sums, priors, lambda a, b: a + b)
+
+
+def label_of(scores: Column, model: NaiveBayes) -> Column:
+    """The label with the best of ``scores``, the first of equal ones."""
+    names = F.array(*[F.lit(label) for label in model.labels])
+    return F.get(names, (F.array_position(scores, F.array_max(scores)) - 1).cast("int"))
+
+
 def predict_nb(
     docs: DataFrame,
     model: NaiveBayes,
@@ -126,4 +141,4 @@ def predict_nb(
     labelled = scored.select(*keep, winner.alias(out), *kept, "_copies")
     if copies_as is not None:
         return labelled.withColumnRenamed("_copies", copies_as)
-    return repeat_copies(labelled, "_copies")
+    return repeat_many(labelled, "_copies")

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.operators.skew import DEFAULT, Limits, lookup
-from gridlore.operators.tokens import regroup, repeat_copies, token_rows
+from gridlore.operators.mapped import lemmas_of
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
+from gridlore.operators.tokens import regroup, repeat_many, token_rows
 
 # Endings that are taken off to find the lemma of a form.
 ENDINGS = ("s", "ed", "ing")
@@ -49,12 +50,15 @@ def lemmatize(
 ) -> DataFrame:
     """``(*keep, out)`` with the lemma of each word, or the word itself.
 
-    One row for each text. ``dictionary`` should be a written table.
+    One row for each text. ``dictionary`` should be a written table. If it fits
+    a broadcast, the words stay in their rows; otherwise they are joined to it.
     """
+    if fits_broadcast(dictionary, limits):
+        return docs.select(*keep, lemmas_of(words, dictionary).alias(out))
     forms = dictionary.select(F.col("form").alias("token"), "lemma")
     rows = lookup(token_rows(docs, keep, words), forms, ["token"], limits)
     lemmas = rows.withColumn("lemma", F.coalesce("lemma", "token"))
-    return repeat_copies(regroup(lemmas, keep, "lemma", out), "_copies")
+    return repeat_many(regroup(lemmas, keep, "lemma", out), "_copies")
 
 
 def lemma_count(counts: DataFrame, dictionary: DataFrame, min_length: int = 3) -> DataFrame:

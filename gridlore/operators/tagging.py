@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.operators.skew import DEFAULT, Limits, lookup
-from gridlore.operators.tokens import regroup, repeat_copies, token_rows
+from gridlore.operators.mapped import tags_of
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
+from gridlore.operators.tokens import regroup, repeat_many, token_rows
 from gridlore.sources.shared import materialize
 
 SUFFIX = 3
@@ -69,6 +70,15 @@ def train_tagger(tagged: DataFrame) -> Tagger:
     )
 
 
+def fits_tagger(tagger: Tagger, limits: Limits = DEFAULT) -> bool:
+    return fits_broadcast(tagger.tokens, limits) and fits_broadcast(tagger.suffixes, limits)
+
+
+def tag_column(words: Column, tagger: Tagger) -> Column:
+    """The tags of a list of words, with a tagger that fits a broadcast."""
+    return tags_of(words, tagger.tokens, tagger.suffixes, SUFFIX, tagger.default)
+
+
 def tag_tokens(
     docs: DataFrame,
     tagger: Tagger,
@@ -86,6 +96,10 @@ def tag_tokens(
     that are copies share one row, their number in the column of that name.
     ``by`` is explained at ``group_columns``.
     """
+    if fits_tagger(tagger, limits):
+        one = [F.lit(1).cast("bigint").alias(copies_as)] if copies_as is not None else []
+        tags = tag_column(words, tagger).alias(out)
+        return docs.select(*keep, *(by or []), tags, *one)
     rows = token_rows(docs, keep, words, by)
     by_token = lookup(rows, tagger.tokens, ["token"], limits)
     # Only a word without a tag needs its suffix.
@@ -100,4 +114,4 @@ def tag_tokens(
     groups = regroup(by_suffix.withColumn("_tag", tag), keep, "_tag", out, by)
     if copies_as is not None:
         return groups.withColumnRenamed("_copies", copies_as)
-    return repeat_copies(groups, "_copies")
+    return repeat_many(groups, "_copies")

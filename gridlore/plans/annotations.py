@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from gridlore.functions.stopwords import ENGLISH_STOP_WORDS
 from gridlore.functions.words import clean_words, remove_stopwords, tokenize
-from gridlore.operators.bayes import NaiveBayes, predict_nb
+from gridlore.operators.bayes import NaiveBayes, label_of, predict_nb, score_columns
 from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize, top_words
-from gridlore.operators.skew import DEFAULT, Limits
-from gridlore.operators.tagging import Tagger, tag_tokens
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast
+from gridlore.operators.tagging import Tagger, fits_tagger, tag_column, tag_tokens
 from gridlore.operators.tokens import repeat_many, same_text, word_count
-from gridlore.plans.sentiment import predict_sentiment
+from gridlore.plans.sentiment import predict_sentiment, sentiment_words
 from gridlore.sources.shared import materialize
 
 
@@ -68,14 +68,31 @@ def annotate_reviews(
 ) -> DataFrame:
     """``(*keep, sentiment, language, pos)`` for each review with a text.
 
-    The language is judged by all words, tags go to the tokens as written.
+    The language is judged by all words, tags go to the tokens as written. With
+    models that fit a broadcast, each review is annotated where it is.
     """
+    written = reviews.where(F.col("text").isNotNull())
+    models = [sentiment, language]
+    if fits_tagger(tagger, limits) and all(fits_broadcast(x.weights, limits) for x in models):
+        text = F.col("text")
+        scored = written.select(
+            *keep,
+            score_columns(sentiment_words(text), sentiment).alias("_mood"),
+            score_columns(clean_words(text), language).alias("_language"),
+            tag_column(tokenize(text), tagger).alias("pos"),
+        )
+        return scored.select(
+            *keep,
+            label_of(F.col("_mood"), sentiment).alias("sentiment"),
+            label_of(F.col("_language"), language).alias("language"),
+            "pos",
+        )
     # Marks of a row, equal for copies only. Each of the three results has
     # them once and is already distributed by them, so the joins move nothing.
     marks = ["_row1", "_row2"]
     # Hashes pass over NULLs, so say which columns are NULL.
     row = F.struct("text", *keep, *[F.col(name).isNull() for name in keep])
-    texts = reviews.where(F.col("text").isNotNull()).withColumns(dict(zip(marks, same_text(row))))
+    texts = written.withColumns(dict(zip(marks, same_text(row))))
     words, tokens = clean_words(F.col("text")), tokenize(F.col("text"))
     by_row = {"by": marks, "limits": limits}
     moods = predict_sentiment(texts, sentiment, copies_as="_moods", **by_row)

@@ -11,12 +11,18 @@ from gridlore.sources.files import (
     write_parquet,
     write_quoted_csv,
 )
-from gridlore.sources.shared import materialize, scratch_path, spread, written_tables
+from gridlore.sources.shared import (
+    materialize,
+    scratch_path,
+    ship_library,
+    spread,
+    written_tables,
+)
 from gridlore.sources.views import preview, register_views, row_count, sample_rows
 
 __all__ = [
     "PEOPLE_SCHEMA", "STATUS_SCHEMA", "as_books", "as_reviews", "read_books",
     "read_people", "read_quoted_csv", "read_reviews", "write_parquet",
-    "write_quoted_csv", "materialize", "scratch_path", "spread",
+    "write_quoted_csv", "materialize", "scratch_path", "ship_library", "spread", "written_tables",
     "preview", "register_views", "row_count", "sample_rows",
 ]

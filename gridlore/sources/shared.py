@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,19 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     if not files or len(files) >= cores:
         return df
     return df.repartition(cores, *key)
+
+
+def ship_library(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library, wherever they run; once a session.
+
+    Spark itself hands the file out to the executors.
+    """
+    context = spark.sparkContext
+    if not any(path.endswith("/gridlore.zip") for path in context.listFiles):
+        package = Path(__file__).resolve().parent.parent
+        path = f"{tempfile.mkdtemp(prefix='gridlore-')}/gridlore.zip"
+        with zipfile.ZipFile(path, "w") as library:
+            for file in sorted(package.rglob("*.py")):
+                library.write(file, file.relative_to(package.parent))
+        context.addPyFile(path)
+    return spark
