@@ -5,6 +5,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -14,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from checks.oracle import ORACLE
 from checks.registry import QUERIES
+from gridlore.sources import written_tables
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -59,6 +61,7 @@ def main() -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -67,7 +70,8 @@ def main() -> int:
     con, failed = connect(sf_dir), 0
     for name in names:
         start = time.time()
-        problem = difference(spark, con, sf_dir, name)
+        with written_tables(spark):
+            problem = difference(spark, con, sf_dir, name)
         failed += problem is not None
         print(f"{name:32} {time.time() - start:6.2f}s  {problem or 'equal'}", flush=True)
     return 1 if failed else 0

@@ -334,6 +334,8 @@ SELECTS = {
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
     "train_language": "SELECT w, label, weight FROM language_weights",
     "detect_language": 'SELECT "Id", label AS language, score AS best_score FROM languages',
+    "detect_language_large":
+        'SELECT "Id", label AS language, score AS best_score FROM languages',
     "detect_turn_language":
         "SELECT conv_id, turn, label AS language, score AS best_score FROM turn_languages",
     "train_sentiment": "SELECT w, label, weight FROM mood_weights",
@@ -343,6 +345,7 @@ SELECTS = {
         UNION ALL SELECT 'suffix', key, tag FROM suffix_tags
         UNION ALL SELECT 'default', '', tag FROM any_tag""",
     "tag_tokens": _tagged("turn_tokens", "conv_id, turn"),
+    "tag_tokens_large": _tagged("turn_tokens", "conv_id, turn"),
     "annotate_reviews": f"""
         SELECT t."Id", m.label AS sentiment, l.label AS language, t.pos, t.tag
         FROM ({_tagged("tokens", '"Id"')}) t JOIN moods m ON t."Id" = m."Id"

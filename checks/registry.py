@@ -236,10 +236,17 @@ def train_language(spark, sf):
     return _language_model(spark, sf).table()
 
 
-def detect_language(spark, sf):
+def detect_language(spark, sf, model=None, limits=op.Limits()):
     words = fx.clean_words(F.col("text"))
-    model = _language_model(spark, sf)
-    return op.predict_nb(_texts(spark, sf), model, ["Id"], words, "language", scores=True)
+    model = model or _language_model(spark, sf)
+    return op.predict_nb(
+        _texts(spark, sf), model, ["Id"], words, "language", scores=True, limits=limits
+    )
+
+
+def detect_language_large(spark, sf, model=None):
+    """As if the model were too large for a broadcast."""
+    return detect_language(spark, sf, model, op.Limits(max_rows=0))
 
 
 def detect_turn_language(spark, sf):
@@ -257,8 +264,9 @@ def train_sentiment(spark, sf):
     return _sentiment_model(spark, sf).table()
 
 
-def predict_sentiment(spark, sf):
-    return plans.predict_sentiment(given.review_texts(spark, sf), _sentiment_model(spark, sf))
+def predict_sentiment(spark, sf, model=None):
+    model = model or _sentiment_model(spark, sf)
+    return plans.predict_sentiment(given.review_texts(spark, sf), model)
 
 
 def _tagger(spark, sf):
@@ -269,22 +277,29 @@ def train_tagger(spark, sf):
     return _tagger(spark, sf).table()
 
 
-def tag_tokens(spark, sf):
+def tag_tokens(spark, sf, model=None, limits=op.Limits()):
     turns = given.turns(spark, sf)
     words = fx.tokenize(F.col("text"))
-    tags = op.tag_tokens(turns, _tagger(spark, sf), ["conv_id", "turn"], words)
+    tags = op.tag_tokens(
+        turns, model or _tagger(spark, sf), ["conv_id", "turn"], words, limits=limits
+    )
     return _listed(tags, ["conv_id", "turn"], "pos_tags", "tag")
 
 
+def tag_tokens_large(spark, sf, model=None):
+    """As if the tagger were too large for a broadcast."""
+    return tag_tokens(spark, sf, model, op.Limits(max_rows=0))
+
+
 # --- reports -----------------------------------------------------------------
 
-def annotate_reviews(spark, sf):
-    notes = plans.annotate_reviews(
-        given.review_texts(spark, sf),
-        _sentiment_model(spark, sf),
-        _language_model(spark, sf),
-        _tagger(spark, sf),
-    )
+def _annotators(spark, sf):
+    return _sentiment_model(spark, sf), _language_model(spark, sf), _tagger(spark, sf)
+
+
+def annotate_reviews(spark, sf, model=None):
+    models = model or _annotators(spark, sf)
+    notes = plans.annotate_reviews(given.review_texts(spark, sf), *models)
     return notes.select("Id", "sentiment", "language", F.posexplode("pos").alias("pos", "tag"))
 
 
@@ -299,8 +314,9 @@ def pipeline_annotations(spark, sf):
     return plans.text_features(_texts(spark, sf), steps)
 
 
-def title_sentiment(spark, sf):
-    return plans.title_sentiment(given.review_texts(spark, sf), _sentiment_model(spark, sf))
+def title_sentiment(spark, sf, model=None):
+    model = model or _sentiment_model(spark, sf)
+    return plans.title_sentiment(given.review_texts(spark, sf), model)
 
 
 def title_sentiment_counting_null(spark, sf):
@@ -319,8 +335,19 @@ QUERIES: dict[str, Query] = {
         tokenize, normalize_tokens, remove_stopwords, remove_stopwords_named, text_features,
         mark_negation, word_count,
         build_lemma_dict, lemmatize, review_lemmas, top_words,
-        train_language, detect_language, detect_turn_language,
+        train_language, detect_language, detect_language_large, detect_turn_language,
         train_sentiment, predict_sentiment, train_tagger, tag_tokens,
+        tag_tokens_large,
         annotate_reviews, pipeline_annotations, title_sentiment, title_sentiment_counting_null,
     )
 }
+
+# Queries that take a trained model, and what trains it.
+TRAINERS = {
+    "detect_language": _language_model,
+    "detect_language_large": _language_model,
+    "predict_sentiment": _sentiment_model,
+    "tag_tokens": _tagger,
+    "title_sentiment": _sentiment_model,
+    "annotate_reviews": _annotators,
+}

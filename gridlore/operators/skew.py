@@ -63,11 +63,11 @@ def _every_slice(slices: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1))
 
 
-def _join(left, right, matched, keys, how, condition, broadcast=False) -> DataFrame:
+def _join(left, right, matched, keys, how, condition, hint: str | None = None) -> DataFrame:
     renamed = {name: f"_other_{name}" for name in matched}
     right = right.withColumnsRenamed(renamed)
-    if broadcast:
-        right = F.broadcast(right)
+    if hint:
+        right = right.hint(hint)
     on = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in renamed.items()])
     if condition is not None:
         on = on & condition
@@ -82,12 +82,16 @@ def salted_join(
     how: str = "inner",
     condition: Column | None = None,
     limits: Limits = DEFAULT,
+    repeats: bool = False,
+    hint: str | None = None,
 ) -> DataFrame:
     """Equi-join on ``keys``, hot keys split over many tasks.
 
     The left rows of a hot key are cut into slices, and its right rows go to
-    each slice. In an inner join the right side is cut the same way. In a left
-    join, rows without a key are spread out. The other column names of the two
+    each slice. In an inner join the right side is cut the same way, and in a
+    semi join if the caller can do with ``repeats``: a left row then comes once
+    for each slice that has a match. In a left join, rows without a key are
+    spread out. ``hint`` is one for the right side, such as ``merge``. The other column names of the two
     sides must differ, and the result has the keys once. ``how`` is ``inner``,
     ``left`` or ``left_semi``.
 
@@ -101,7 +105,8 @@ def salted_join(
     one = F.lit(1).cast("bigint")
 
     hot = _found_hot_keys(left, keys, limits)
-    hot_right = _found_hot_keys(right, keys, limits) if how == "inner" else None
+    cut_right = how == "inner" or how == "left_semi" and repeats
+    hot_right = _found_hot_keys(right, keys, limits) if cut_right else None
     if hot is not None or how == "left":
         slices = one
         if hot is not None:
@@ -119,14 +124,23 @@ def salted_join(
         left = left.withColumn("_salt_right", _every_slice(slices)).drop("slices")
         right = right.withColumn("_salt_right", _row_slice(right_columns, slices)).drop("slices")
         matched.append("_salt_right")
-    return _join(left, right, matched, keys, how, condition)
+    return _join(left, right, matched, keys, how, condition, hint)
+
+
+def _width(name: str, kind: str) -> Column | None:
+    """The bytes of a value, for a kind that has no fixed width."""
+    if kind in ("string", "binary"):
+        return F.octet_length(name)
+    if kind.startswith(("array", "map", "struct", "variant")):
+        return F.octet_length(F.to_json(F.struct(name)))
+    return None
 
 
 def fits_broadcast(table: DataFrame, limits: Limits = DEFAULT) -> bool:
     """Measure a table: is it small enough for every executor to hold?"""
-    texts = [name for name, kind in table.dtypes if kind == "string"]
+    widths = [_width(name, kind) for name, kind in table.dtypes]
     fixed = F.lit(8 * (len(table.columns) + 1))
-    width = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), fixed)
+    width = sum((F.coalesce(x, F.lit(0)) for x in widths if x is not None), fixed)
     rows, size = table.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= limits.max_rows and size <= limits.max_bytes
 
@@ -139,16 +153,18 @@ def balanced_join(
     condition: Column | None = None,
     limits: Limits = DEFAULT,
     at_most: DataFrame | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """``salted_join``, or a broadcast join if the right side is small.
 
     The right side is measured, or ``at_most``, a table that is no smaller and
     easier to compute. With a broadcast the left side is not looked at
-    beforehand and stays where it is.
+    beforehand and stays where it is. A side that has been measured to be too
+    large is not left to the planner's guess of its size.
     """
     if fits_broadcast(right if at_most is None else at_most, limits):
-        return _join(left, right, list(keys), keys, how, condition, broadcast=True)
-    return salted_join(left, right, keys, how, condition, limits)
+        return _join(left, right, list(keys), keys, how, condition, "broadcast")
+    return salted_join(left, right, keys, how, condition, limits, repeats, "merge")
 
 
 def lookup(

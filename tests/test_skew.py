@@ -80,3 +80,29 @@ def test_many_copies_are_shared_out(spark):
     groups = spark.createDataFrame([("a", 1), ("b", 25), ("c", 10)], "id string, n long")
     repeated = repeat_many(groups.withColumn("copies", F.col("n")), "copies", chunk=10)
     assert rows(repeated.groupBy("id", "n").count()) == [(1, "a", 1), (10, "c", 10), (25, "b", 25)]
+
+
+def test_semi_join_with_a_hot_right_key(spark):
+    left = spark.range(200).select((F.col("id") % 4).alias("k"), F.col("id").alias("a"))
+    right = spark.range(3000).select(
+        F.when(F.col("id") < 2900, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("b")
+    )
+    limits, condition = Limits(parts=30, min_rows=2), F.col("b") % 7 == F.col("a") % 7
+    found = salted_join(left, right, ["k"], "left_semi", condition, limits, repeats=True)
+    assert rows(found.distinct()) == rows(left.where("k = 1"))
+    assert "_salt_right" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_table_measured_too_large_is_not_broadcast(spark, plan):
+    table = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("b"))
+    facts = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("a"))
+    assert "BroadcastHashJoin" in plan(lookup(facts, table, ["k"]))
+    assert "BroadcastHashJoin" not in plan(lookup(facts, table, ["k"], Limits(max_rows=10)))
+
+
+def test_all_kinds_of_columns_are_measured(spark):
+    wide = spark.range(10).select(F.array_repeat(F.lit("x" * 50), 100).alias("a"))
+    assert not fits_broadcast(wide, Limits(max_bytes=40_000))
+    assert fits_broadcast(wide, Limits(max_bytes=80_000))
+    raw = spark.range(10).select(F.lit("x" * 5000).cast("binary").alias("a"))
+    assert not fits_broadcast(raw, Limits(max_bytes=40_000))
