@@ -14,6 +14,7 @@ from gridlore.sources.files import (
 from gridlore.sources.shared import (
     materialize,
     scratch_path,
+    settled,
     ship_library,
     spread,
     written_tables,
@@ -23,6 +24,6 @@ from gridlore.sources.views import preview, register_views, row_count, sample_ro
 __all__ = [
     "PEOPLE_SCHEMA", "STATUS_SCHEMA", "as_books", "as_reviews", "read_books",
     "read_people", "read_quoted_csv", "read_reviews", "write_parquet",
-    "write_quoted_csv", "materialize", "scratch_path", "ship_library", "spread", "written_tables",
+    "write_quoted_csv", "materialize", "scratch_path", "settled", "ship_library", "spread", "written_tables",
     "preview", "register_views", "row_count", "sample_rows",
 ]

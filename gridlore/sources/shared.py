@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -65,6 +65,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return write_parquet(df, scratch_path(df.sparkSession, name))
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The written result of ``make``, without the tables that were written for it."""
+    path = scratch_path(spark, name)
+    with written_tables(spark):
+        return write_parquet(make(), path)
+
+
 def spread(df: DataFrame, *key: str) -> DataFrame:
     """Use all cores for an input that comes in fewer files than there are.
 
