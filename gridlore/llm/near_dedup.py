@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gridlore.llm.components import components
 from gridlore.llm.shingles import lists, mix, shingle, word_hashes
-from gridlore.sources.shared import materialize
+from gridlore.sources.shared import materialize, settled
 
 BANDS, ROWS = 25, 5
 _ROUND = np.uint64(0xD6E8FEB86659FD93)
@@ -259,13 +259,17 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, id: str = "doc_id", text:
     Where no row of a class has an id, or several rows have the least one, one
     of them is kept. All columns of ``docs`` stay.
     """
-    classes = near_classes(docs, threshold, id=id, text=text)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    # Ids need not be unique: rows of one class and id may differ in words or be repeated.
-    kept = kept.groupBy("class_key", F.col("class_id").alias("_id")).agg(
-        F.min(F.struct("k1", "k2")).alias("_mark"), F.count("*").alias("_n")
-    )
-    kept = materialize(kept.select("_id", "_mark.k1", "_mark.k2", "_n"), "kept")
+
+    def chosen() -> DataFrame:
+        classes = near_classes(docs, threshold, id=id, text=text)
+        first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+        # Ids need not be unique: rows of one class and id may differ in words or be repeated.
+        marks = first.groupBy("class_key", F.col("class_id").alias("_id")).agg(
+            F.min(F.struct("k1", "k2")).alias("_mark"), F.count("*").alias("_n")
+        )
+        return marks.select("_id", "_mark.k1", "_mark.k2", "_n")
+
+    kept = settled(docs.sparkSession, chosen, "kept")
     words = word_hashes(F.col(text))
     marked = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id).alias("_id"), words.alias("_words"))
     marked = marked.select(
