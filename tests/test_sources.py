@@ -115,3 +115,39 @@ def test_spread(spark):
 def test_scratch_is_in_the_folder_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert sources.scratch_path(spark, "x").startswith(folder)
+
+
+def test_written_tables_are_deleted(spark):
+    from pathlib import Path
+
+    from gridlore import sources
+
+    def folder(table):
+        return Path(table.inputFiles()[0].removeprefix("file://")).parent
+
+    with sources.written_tables(spark):
+        inner = folder(sources.materialize(spark.range(5)))
+        assert inner.exists()
+    assert not inner.exists()
+
+    left = []
+
+    def make():
+        left.append(folder(sources.materialize(spark.range(5))))
+        return spark.read.parquet(str(left[0])).where("id > 2")
+
+    result = sources.settled(spark, make, "result")
+    assert result.count() == 2 and not left[0].exists() and folder(result).exists()
+
+
+def test_spread_reads_nothing(spark, tmp_path):
+    from gridlore import sources
+
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    spread = sources.spread(one, "id")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert spread.count() == 100
+    made = spark.range(10)
+    assert sources.spread(made) is made

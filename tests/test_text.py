@@ -212,3 +212,48 @@ def test_rows_need_no_key(spark, limits):
         ("1", "negative", ["J", "N"]), ("1", "positive", ["J"]), ("1", "positive", ["J"]),
         ("1", "positive", ["J", "J"]), ("1", "negative", ["J"]), (None, "positive", ["J"]),
     ]))
+
+
+@pytest.mark.parametrize("limits", [Limits(), LARGE])
+def test_words_of_a_table_are_dropped(spark, limits):
+    texts = docs(spark, "The book and the shelf", "the THE", "", None, "plain", "plain")
+    table = spark.createDataFrame([("the",), ("AND",), (None,), ("the",)], "word string")
+    kept = op.drop_words(texts, ["Id"], fx.tokenize(F.col("text")), table, limits=limits)
+    assert {r.Id: r.words for r in kept.collect()} == {
+        0: ["book", "shelf"], 1: [], 2: [], 3: [], 4: ["plain"], 5: ["plain"]
+    }
+
+
+def test_steps_of_both_kinds(spark):
+    mood = plans.train_sentiment(spark.createDataFrame(TRAINING, "text string, label string"))
+    steps = [
+        ("tokens", "text", fx.tokenize),
+        lambda d: plans.predict_sentiment(d, mood, ["Id", "tokens"]),
+    ]
+    found = plans.text_features(docs(spark, "bad book", "good"), steps)
+    assert {r.Id: (r.tokens, r.sentiment) for r in found.collect()} == {
+        0: (["bad", "book"], "negative"), 1: (["good"], "positive")
+    }
+
+
+def test_the_number_of_labels_is_a_parameter(spark):
+    many = spark.createDataFrame([(f"l{i}", f"w{i}") for i in range(30)], "label string, text string")
+    words = fx.clean_words(F.col("text"))
+    assert len(op.train_nb(many, "label", words, max_labels=30).labels) == 30
+    with pytest.raises(ValueError, match="more than 29 labels"):
+        op.train_nb(many, "label", words, max_labels=29)
+
+
+def test_tables_that_fit_need_no_shuffle(spark, plan):
+    texts = docs(spark, "the bad book", "a good one")
+    training = spark.createDataFrame(TRAINING, "text string, label string")
+    mood = plans.train_sentiment(training)
+    tongue = op.train_nb(training, "label", fx.clean_words(F.col("text")))
+    tagger = op.train_tagger(spark.createDataFrame([("bad", "J")], "token string, tag string"))
+    dictionary = spark.createDataFrame([("books", "book")], "form string, lemma string")
+    for result in (
+        plans.review_lemmas(texts, dictionary),
+        op.tag_tokens(texts, tagger, ["Id"], fx.tokenize(F.col("text"))),
+        plans.annotate_reviews(texts, mood, tongue, tagger),
+    ):
+        assert "Exchange" not in plan(result)
