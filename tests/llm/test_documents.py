@@ -190,6 +190,21 @@ def test_repeated_passages(docs_of):
     assert set(found) == {*exact, 51}
 
 
+@pytest.mark.parametrize("size, replaced", [(55, (18, 37)), (60, (20, 40)), (80, (20, 40, 60)), (50, (25,))])
+def test_passages_with_replaced_words_are_found(docs_of, size, replaced):
+    rows = []
+    for i in range(40):
+        own = words(("p", size, i), size)
+        rows.append((i, " ".join(words(("a", i), 60) + own + words(("b", i), 60))))
+        for at in replaced:
+            own[at] = f"new{at}"
+        rows.append((100 + i, " ".join(words(("c", i), 60) + own + words(("d", i), 60))))
+    rows.sort()
+    found = passages.repeated_passages(docs_of(rows).coalesce(1)).collect()
+    spans = {r.doc_id: (r.first_id, r.start, r.end) for r in found}
+    assert spans == {100 + i: (i, 60, 60 + size) for i in range(40)}
+
+
 def test_cut_passages(docs_of, odd, clashing, none):
     rows = _passage_rows()
     docs = docs_of(rows).coalesce(1)
