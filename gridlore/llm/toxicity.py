@@ -230,7 +230,8 @@ def learn_lexicon(labelled: DataFrame, max_terms: int = 2000, least: int = 4) ->
     whose least triple of words, by hash, is the same. A term must be in ``least`` toxic texts,
     at least four times as likely there as in others, and too rarely elsewhere to
     be chance, given how many terms are looked at. A longer term is taken beside
-    its beginning only if it tells more.
+    its beginning only if it tells more, or if it is a word that may be misspelled:
+    its beginning must be spelled as it is. Such words don't count as ``max_terms``.
     """
     hashed = F.transform(F.split(F.lower("text"), r"\s+"), lambda x: F.xxhash64(x))
     labelled = labelled.select("toxic", "text", hashed.alias("_w"))
@@ -265,6 +266,7 @@ def learn_lexicon(labelled: DataFrame, max_terms: int = 2000, least: int = 4) ->
     rows = found.orderBy(F.desc("surprise"), F.desc(F.length("term")), "term").limit(4 * max_terms).collect()
     chosen: dict[str, float] = {}
     stems: dict[str, tuple[int, float]] = {}
+    beside = 0
     for row in rows:
         word = row["term"].removesuffix("*")
         shorter = [stems[word[:size]][1] for size in STEMS if word[:size] in stems]
@@ -273,7 +275,9 @@ def learn_lexicon(labelled: DataFrame, max_terms: int = 2000, least: int = 4) ->
         within = row["term"].endswith("*") and sum(
             n for stem, (n, _) in stems.items() if stem.startswith(word)
         ) >= 0.95 * row["a"]
-        if covered or within or len(chosen) >= max_terms:
+        if covered and edits_allowed(row["term"]):
+            beside += 1
+        elif covered or within or len(chosen) - beside >= max_terms:
             continue
         chosen[row["term"]] = float(row["weight"])
         if row["term"].endswith("*"):

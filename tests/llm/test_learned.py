@@ -68,6 +68,17 @@ def test_held_out_texts_are_told_apart(labelled):
     assert sum(r.predicted == (r.doc_id % 4 == 0) for r in found) >= 0.98 * len(found)
 
 
+def test_misspelled_forms_that_were_never_seen_are_found(labelled, docs_of):
+    docs, labels = labelled
+    model = toxicity.train(docs, labels)
+    words_of = toxicity._Words(toxicity.Automaton(model.terms))
+    for form in ("xvzzle", "xuzle", "quorbble", "qorble"):
+        assert words_of[form] and words_of[form][1] == 1, form
+    rows = [(i, " ".join(words(("u", i), 40) + ["xvzzle", "qorble", "xuzle"])) for i in range(20)]
+    scored = toxicity.score_documents(docs_of(rows), model).collect()
+    assert sum(r.predicted for r in scored) >= 19
+
+
 def test_labels_of_held_out_rows_are_not_used(labelled):
     docs, labels = labelled
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
