@@ -6,6 +6,9 @@ signature's registers, and a register keeps the shingle that arrives first. The
 share of equal registers of two texts estimates their probability Jaccard
 similarity. A shingle's arrivals end as soon as they come later than all
 registers. Registers are banded; texts that share a band are compared exactly.
+A text with shingles that repeat has the bands of a second signature, in which
+each shingle weighs one: its share of equal registers estimates the Jaccard
+similarity of the sets. For other texts the two are the same.
 
 A band shared by few texts gives all their pairs. One shared by many gives a
 star around one text; texts that the star leaves in other components get stars
@@ -72,6 +75,17 @@ def _band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
+def _with_repeats(
+    shingles: np.ndarray, ends: np.ndarray, listed: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts in which a shingle repeats, their shingles as sets, and where each set ends."""
+    repeat = np.array([bool((x[1:] == x[:-1]).any()) for x in listed], bool)
+    texts = np.flatnonzero(repeat & (np.diff(ends) > 0))
+    sets = [np.unique(shingles[ends[i] : ends[i + 1]]) for i in texts]
+    cut = np.concatenate(([0], np.cumsum([len(x) for x in sets], dtype=np.int64))).astype(np.int64)
+    return texts, np.concatenate(sets) if sets else shingles[:0], cut
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """The larger of the probability Jaccard similarity and that of the shingles as sets."""
     if not len(a) or not len(b):
@@ -105,10 +119,22 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int) -> DataF
                 signatures, listed = prob_minhash(hashes, ends, bands * rows)
                 keys = _band_keys(signatures, bands, rows)
                 has = np.diff(ends) > 0
-                counts = np.where(has, bands, 0)
+                of = np.repeat(np.flatnonzero(has), bands)
+                keys = keys[has].reshape(-1)
+                texts, sets, cut = _with_repeats(hashes, ends, listed)
+                if len(texts):
+                    # Only the bands in which the two signatures differ are further ones.
+                    plain = _band_keys(prob_minhash(sets, cut, bands * rows)[0], bands, rows)
+                    own = _band_keys(signatures[texts], bands, rows)
+                    differ = plain != own
+                    of = np.concatenate((of, np.broadcast_to(texts[:, None], differ.shape)[differ]))
+                    keys = np.concatenate((keys, plain[differ]))
+                    order = np.argsort(of, kind="stable")
+                    of, keys = of[order], keys[order]
+                counts = np.bincount(of, minlength=part.num_rows)
                 key_list = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()),
-                    pa.array(keys[has].reshape(-1).view(np.int64)),
+                    pa.array(keys.view(np.int64)),
                 )
                 flat = np.concatenate(listed) if listed else np.empty(0, np.uint32)
                 shingle_list = pa.ListArray.from_arrays(

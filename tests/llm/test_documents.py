@@ -134,6 +134,18 @@ def test_near_classes(docs_of, few, rounds):
     assert {r.doc_id: r.class_id for r in found} == _classes_by_brute_force(rows)
 
 
+def test_near_copies_with_a_repeated_line_are_linked(docs_of):
+    rows = []
+    for group in range(20):
+        own, line = words(("r", group), 200), words(("line", group), 12)
+        for copy, times in enumerate((1, 20, 50)):
+            rows.append((10 * group + copy, " ".join(own + line * times)))
+    found = near_dedup.near_classes(docs_of(rows)).collect()
+    wanted = _classes_by_brute_force(rows)
+    assert wanted[2] == 0 and wanted[12] == 10
+    assert {r.doc_id: r.class_id for r in found} == wanted
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     own = np.random.default_rng(1)
     items = own.integers(0, 2**63, 300).astype(np.uint64)
