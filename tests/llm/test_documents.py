@@ -217,6 +217,19 @@ def test_passages_with_replaced_words_are_found(docs_of, size, replaced):
     assert spans == {100 + i: (i, 60, 60 + size) for i in range(40)}
 
 
+def test_passages_with_a_word_put_in_or_left_out_are_found(docs_of):
+    rows, wanted = [], {}
+    for i, size in enumerate((50, 51, 60, 75, 90, 98) * 5):
+        own = words(("p", i), size)
+        changed = own[: size // 2] + ["new"] + own[size // 2 :] if i % 2 else own[: size // 2] + own[size // 2 + 1 :]
+        rows.append((i, " ".join(words(("a", i), 60) + own + words(("b", i), 60))))
+        rows.append((100 + i, " ".join(words(("c", i), 70) + changed + words(("d", i), 60))))
+        wanted[100 + i] = (i, 70, 70 + len(changed))
+    rows.sort()
+    found = passages.repeated_passages(docs_of(rows).coalesce(1)).collect()
+    assert {r.doc_id: (r.first_id, r.start, r.end) for r in found} == wanted
+
+
 def test_cut_passages(docs_of, odd, clashing, none):
     rows = _passage_rows()
     docs = docs_of(rows).coalesce(1)
