@@ -253,7 +253,8 @@ def prefix_trie(conversations: DataFrame, rebuild: bool = True, rulers: int = RU
     ``rebuilt``.
 
     Turns are ordered by ``turn``, NULL first, then by role and text, so
-    repeated turns are turns like others. NULL roles and texts are empty. Rows
+    repeated turns are turns like others. NULL roles and texts are empty. Ids are
+    whole numbers; the remainder of a negative one is negative, as in SQL. Rows
     without a conversation id are ignored, and so are other columns. Without
     conversations the result is empty.
     """

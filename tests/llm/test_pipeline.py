@@ -40,9 +40,9 @@ def test_stages(spark, docs_of, tmp_path):
     assert all(left[3][i] == text for i, text in clean)
 
 
-def test_eleven_queries_are_registered():
+def test_fourteen_queries_are_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(QUERIES) <= set(names)
