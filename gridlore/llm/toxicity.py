@@ -51,6 +51,10 @@ class Automaton:
                 node = self.next[node][letter]
             (self.stem_at if term.endswith("*") else self.word_at)[node] = number
         self.most = max(map(edits_allowed, self.terms), default=0)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all states but the first."""
         self.states: list[dict[int, int]] = []
         self.number: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
@@ -114,14 +118,16 @@ class Automaton:
 
 
 class _Words(dict):
-    """What the automaton says of words, for a bounded number of them."""
+    """What the automaton says of words, for a bounded number of words and states."""
 
-    def __init__(self, automaton: Automaton, memory: int = 300_000):
+    def __init__(self, automaton: Automaton, memory: int = 100_000):
         self.automaton, self.memory = automaton, memory
 
     def __missing__(self, word: str):
         if len(self) >= self.memory:
             self.clear()
+        if len(self.automaton.states) >= self.memory:
+            self.automaton.forget()
         found = self[word] = self.automaton.find(word)
         return found
 
