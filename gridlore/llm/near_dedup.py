@@ -11,9 +11,12 @@ each shingle weighs one: its share of equal registers estimates the Jaccard
 similarity of the sets. For other texts the two are the same.
 
 A band shared by few texts gives all their pairs. One shared by many gives a
-star around one text; texts that the star leaves in other components get stars
-of their own, and what is still apart after some rounds is compared across the
-components. So no link is lost, and linked texts are never compared all with all.
+star around the text in its middle. For texts that this leaves in other
+components, an exact index finds what they may be linked to: in the order of how
+rare shingles are, two linked texts have a shingle in common among the first
+ones of each, up to where what follows weighs too little. A line that many texts
+share is not among them. So no link is lost, and no texts are compared all with
+all.
 """
 from __future__ import annotations
 
@@ -26,9 +29,14 @@ from pyspark.sql import functions as F
 
 from gridlore.llm.components import components
 from gridlore.llm.shingles import lists, mix, shingle, word_hashes
+from gridlore.operators.skew import Limits, balanced_join, fits_broadcast, lookup
 from gridlore.sources.shared import materialize, settled
 
 BANDS, ROWS = 25, 5
+COUNTERS = 1 << 20
+_HOT = Limits(min_rows=10_000)
+# Tables of one number a row: 64 MB at the most.
+_NUMBERS = Limits(max_rows=4_000_000)
 _ROUND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -164,6 +172,12 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int) -> DataF
     )
 
 
+def _only(rows: DataFrame, written: DataFrame, key: str) -> DataFrame:
+    """The rows whose number is in a written table; where its numbers fit a broadcast nothing is shuffled."""
+    ids = written.select(key)
+    return rows.join(F.broadcast(ids) if fits_broadcast(ids, _NUMBERS) else ids, key, "left_semi")
+
+
 def _verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``(a, b)`` that are similar enough, written."""
 
@@ -186,13 +200,98 @@ def _verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFr
     return materialize(sides.mapInArrow(verify, "a bigint, b bigint"), "links")
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, root)`` after more links; only the components that they join are looked at."""
+    for end in ("a", "b"):
+        up = roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+        links = links.join(up, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    ends = links.select(F.explode(F.array(F.struct("a", "_a"), F.struct(F.col("b").alias("a"), F.col("_b").alias("_a")))).alias("_e"))
+    known = roots.unionByName(ends.select(F.col("_e.a").alias("node"), F.col("_e._a").alias("root"))).distinct()
+    moved = components(links.select(F.col("_a").alias("a"), F.col("_b").alias("b"))).select(
+        F.col("node").alias("_node"), F.col("root").alias("_root")
+    )
+    known = known.join(moved, F.col("root") == F.col("_node"), "left")
+    return materialize(known.select("node", F.coalesce("_root", "root").alias("root")), "components")
+
+
+def _counters(texts: DataFrame) -> np.ndarray:
+    """In how many texts the shingles of each counter are; there are ``COUNTERS`` of them, whatever the size."""
+    each = texts.select(F.explode(F.array_distinct("shingles")).alias("shingle"))
+    counts = each.groupBy(F.pmod("shingle", F.lit(COUNTERS)).alias("at")).agg(F.count("*").alias("n"))
+    found = counts.toArrow()
+    table = np.zeros(COUNTERS, np.int64)
+    table[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return table
+
+
+def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
+    """``(node, root, shingle, w, n, size, plain)``: each text's rarest shingles, of which linked texts share one.
+
+    What two texts share weighs at least ``threshold`` in each, by the counts or
+    as sets. So the rarest shingle that they share stands where at least that
+    much is still to come, in both; ``w`` is its share of the counts, ``n`` its
+    number of different shingles, of ``size``. In a ``plain`` text none repeats.
+    Rare is what has a small counter; any order that is the same for all texts
+    is right. Those that only one text has are left out.
+    """
+    held = texts.sparkSession.sparkContext.broadcast(_counters(texts))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = held.value
+        for batch in batches:
+            parts = []
+            for i, own in enumerate(batch.column(2)):
+                values, times = np.unique(own.values.to_numpy(), return_counts=True)
+                if not len(values):
+                    continue
+                often = counters[values % COUNTERS]
+                order = np.lexsort((values, often))
+                onward = times[order][::-1].cumsum()[::-1] / times.sum()
+                n = np.arange(len(values), 0, -1)
+                at = (np.maximum(onward, n / len(values)) >= threshold - 1e-9) & (often[order] > 1)
+                k = int(at.sum())
+                parts.append((np.full(k, i), values[order][at], onward[at], n[at], np.full(k, len(values)), np.full(k, times.max() == 1)))
+            row, shingle, w, n, size, plain = map(np.concatenate, zip(*parts)) if parts else [np.zeros(0, int)] * 6
+            taken = [batch.column(j).take(pa.array(row, pa.int64())) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *taken, pa.array(shingle, pa.int32()), pa.array(w, pa.float64()),
+                    *[pa.array(x, pa.int64()) for x in (n, size)], pa.array(plain.astype(bool)),
+                ],
+                ["node", "root", "shingle", "w", "n", "size", "plain"],
+            )
+
+    schema = "node bigint, root bigint, shingle int, w double, n bigint, size bigint, plain boolean"
+    return materialize(texts.select("node", "root", "shingles").mapInArrow(rarest, schema), "prefixes")
+
+
+def _possible(apart: DataFrame, outside: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` of a text outside and one of another component that may be linked."""
+    members = materialize(apart.select("node", "root").distinct(), "members")
+    texts = _only(shingles.withColumnRenamed("_row", "node"), members, "node").join(members, "node")
+    rarest = _prefixes(texts, threshold)
+    lone = outside.select(F.col("node").alias("a")).distinct()
+    own = rarest.withColumnsRenamed({"node": "a", **{x: f"_{x}" for x in ("root", "w", "n", "size", "plain")}})
+    own = own.join(lone, "a", "left_semi")
+    others = rarest.withColumnRenamed("node", "b")
+    # At the rarest shingle of both, what stands before it in either is in one text only. So no
+    # more is shared than is still to come in either; shares x and y of the counts that are
+    # allow a similarity of 1 / (1 / x + 1 / y - 1).
+    both = F.least("n", "_n") >= (F.col("size") + F.col("_size")) * (threshold / (1 + threshold)) - 1e-9
+    weighted = 1 / F.col("w") + 1 / F.col("_w") <= 1.0 + 1.0 / threshold + 1e-9
+    able = both | ~(F.col("plain") & F.col("_plain")) & weighted
+    met = balanced_join(
+        others, own, ["shingle"], condition=able & (F.col("root") != F.col("_root")), limits=_HOT
+    )
+    return met.select("a", "b")
+
+
 def near_classes(
     docs: DataFrame,
     threshold: float = 0.8,
     bands: int = BANDS,
     rows: int = ROWS,
     few: int = 32,
-    rounds: int = 8,
     id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -204,68 +303,47 @@ def near_classes(
     and named after its least id, NULL if none of its rows has one; ``class_key``
     tells classes apart in any case, and ``k1, k2`` are marks of the words. Texts of the same words are one class; so are all texts
     without words, NULL ones included. Other columns are ignored, an empty
-    table gives an empty result. ``few`` and ``rounds`` change the work, not the
-    result.
+    table gives an empty result. ``few`` changes the work, not the result.
     """
     signed = _signed(docs, id, text, bands, rows)
-    texts = signed.groupBy("k1", "k2").agg(F.min("_row").alias("node"))
-    nodes = texts.select(F.col("node").alias("_row"))
-    firsts = signed.select("_row", "bands").join(nodes, "_row", "left_semi")
-    buckets = firsts.select(F.col("_row").alias("node"), F.explode("bands").alias("key"))
+    # One row of each text stands for it, with its bands.
+    firsts = signed.groupBy("k1", "k2").agg(F.min(F.struct("_row", "bands")).alias("_first"))
+    firsts = materialize(firsts.select("k1", "k2", F.col("_first._row").alias("node"), "_first.bands"), "firsts")
+    texts = firsts.select("k1", "k2", "node")
+    buckets = firsts.select("node", F.explode("bands").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialize(buckets.join(sizes, "key"), "buckets")
-    met = buckets.select(F.col("node").alias("_row")).distinct()
-    shingles = materialize(
-        signed.select("_row", "shingles").join(met, "_row", "left_semi"), "shingles"
-    )
+    met = materialize(buckets.select(F.col("node").alias("_row")).distinct(), "met")
+    shingles = materialize(_only(signed.select("_row", "shingles"), met, "_row"), "shingles")
 
     small = buckets.where(F.col("n") <= few)
     listed = small.groupBy("key").agg(F.collect_list("node").alias("_all"))
     pairs = listed.select("_all", F.explode("_all").alias("a"))
     pairs = pairs.select("a", F.explode("_all").alias("b")).where("a < b")
     large = buckets.where(F.col("n") > few)
-    links = None
-    if not large.isEmpty():
-        hubs = large.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("a"))
-        stars = large.join(hubs, "key").select("a", F.col("node").alias("b"))
+    crowded = not large.isEmpty()
+    if crowded:
+        # The text that shares most bands with others is in the middle of its group.
+        middle = large.groupBy("node").agg(F.sum("n").alias("_middle"))
+        most = F.struct("_middle", F.xxhash64("node"))
+        hubs = large.join(middle, "node").groupBy("key").agg(F.max_by("node", most).alias("a"))
+        hubs = materialize(hubs, "hubs")
+        stars = lookup(large, hubs, ["key"], _HOT).select("a", F.col("node").alias("b"))
         pairs = pairs.unionByName(stars.where("a <> b"))
-    links = _verified(pairs, shingles, threshold)
-    roots = components(links)
-
-    if not large.isEmpty():
-        done = materialize(hubs.select("key", F.col("a").alias("node")), "hubs")
-        for i in range(rounds + 1):
-            # Texts outside the component of a bucket's first hub have not been linked to it.
-            placed = large.join(roots, "node", "left")
-            placed = placed.select("key", "node", F.coalesce("root", "node").alias("root"))
-            main = placed.groupBy("key", "root").agg(F.count("*").alias("_n"))
-            main = main.groupBy("key").agg(
-                F.max_by("root", "_n").alias("_main"), F.count("*").alias("_parts")
-            )
-            apart = placed.join(main.where("_parts > 1"), "key")
-            apart = materialize(
-                apart.join(done.withColumn("_done", F.lit(True)), ["key", "node"], "left"), "apart"
-            )
-            outside = apart.where("root <> _main AND _done IS NULL")
-            if outside.isEmpty():
-                break
-            if i < rounds:
-                # The next star of a bucket: one text of each that is still outside.
-                seed = F.xxhash64("node", F.lit(i + 1))
-                centres = outside.groupBy("key").agg(F.min_by("node", seed).alias("a"))
-                own = outside.select("key", F.col("node").alias("a"), F.col("root").alias("_root"))
-                centres = centres.join(own, ["key", "a"])
-            else:
-                # The rest exactly: every text outside with all of other components.
-                centres = outside.select(
-                    "key", F.col("node").alias("a"), F.col("root").alias("_root")
-                )
-            stars = apart.select("key", F.col("node").alias("b"), "root").join(centres, "key")
-            stars = stars.where("root <> _root").select("a", "b")
-            links = links.unionByName(_verified(stars, shingles, threshold))
-            done = done.unionByName(centres.select("key", F.col("a").alias("node")))
-            done = materialize(done, "hubs")
-            roots = components(links)
+    roots = components(_verified(pairs, shingles, threshold))
+
+    if crowded:
+        # Texts outside the largest component of a bucket have not been linked to all they could be.
+        placed = large.join(roots, "node", "left")
+        placed = materialize(placed.select("key", "node", F.coalesce("root", "node").alias("root")), "placed")
+        parts = placed.groupBy("key", "root").agg(F.count("*").alias("_n"))
+        main = parts.groupBy("key").agg(F.max_by("root", F.struct("_n", "root")).alias("_main"), F.count("*").alias("_parts"))
+        main = materialize(main.where("_parts > 1").drop("_parts"), "main")
+        apart = materialize(lookup(placed, main, ["key"], _HOT).where("_main IS NOT NULL"), "apart")
+        outside = apart.where("root <> _main")
+        if not outside.isEmpty():
+            links = _verified(_possible(apart, outside, shingles, threshold), shingles, threshold)
+            roots = _joined(roots, links)
 
     placed = texts.join(roots, "node", "left").select(
         "k1", "k2", F.coalesce("root", "node").alias("_root")
