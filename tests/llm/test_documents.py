@@ -127,13 +127,46 @@ def _classes_by_brute_force(rows):
     return {i: root(i) for i in sets}
 
 
-@pytest.mark.parametrize("few, rounds", [(32, 8), (2, 1), (2, 0)])
-def test_near_classes(docs_of, few, rounds):
+@pytest.mark.parametrize("few", [32, 2])
+def test_near_classes(docs_of, few):
     rows = _near_rows()
-    found = near_dedup.near_classes(docs_of(rows), few=few, rounds=rounds).collect()
+    found = near_dedup.near_classes(docs_of(rows), few=few).collect()
     assert {r.doc_id: r.class_id for r in found} == _classes_by_brute_force(rows)
 
 
+def test_links_in_a_crowd_just_below_the_threshold_are_found(docs_of):
+    """Copies of one text with up to a tenth of the words replaced: most pairs are no links, many are."""
+    import random
+
+    own, base, rows = random.Random(9), words("crowd", 120), []
+    for i in range(250):
+        text = list(base)
+        for at in own.sample(range(120), own.randint(0, 9)):
+            text[at] = f"{i}x{at}"
+        rows.append((i, " ".join(text)))
+    found = near_dedup.near_classes(docs_of(rows), few=4).collect()
+    wanted = _classes_by_brute_force(rows)
+    assert {r.doc_id: r.class_id for r in found} == wanted
+    assert 1 < len(set(wanted.values())) < 250
+
+
+def test_a_shared_line_makes_no_pairs(docs_of, monkeypatch):
+    seen, verified = [], near_dedup._verified
+
+    def counted(pairs, *rest):
+        seen.append(pairs.distinct().count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    line, sums = words("line", 30), []
+    for n in (200, 800):
+        rows = [(i, " ".join(words(("own", i), 8) + line + words(("end", i), 7))) for i in range(n)]
+        assert len({r.class_key for r in near_dedup.near_classes(docs_of(rows)).collect()}) == n
+        sums.append(sum(seen))
+        seen.clear()
+    assert sums[1] < 4 * sums[0]
+
+
 def test_near_copies_with_a_repeated_line_are_linked(docs_of):
     rows = []
     for group in range(20):
