@@ -1,6 +1,6 @@
 """Benchmark passages in documents, by spaced seeds.
 
-A seed is a mask over ten neighbouring words of which six count; the other four
+A seed is a mask over up to ten neighbouring words of which six count; the others
 may differ. The hashes of all masks at all places of the benchmark are joined
 with those of the documents. Around a hit, the words of item and document are
 laid side by side, and stretches that agree up to some substitutions are
@@ -21,9 +21,10 @@ from gridlore.llm.shingles import lists, mix, word_hashes
 from gridlore.operators.skew import fits_broadcast
 from gridlore.sources.shared import materialize
 
-# Together the masks find 98 % of 15-word passages with one to four words replaced.
-MASKS = ("1101001101", "1110110001", "1010001111", "1100101011")
-SPAN = 10
+# Whichever fifth of the words of a passage of 10 to 15 words is replaced, a mask
+# lies where it does not count; of longer passages they find more.
+MASKS = ("1101001101", "1110110001", "1010001111", "1100101011", "1111011", "11011101", "111100011")
+LEAST = 10
 _FILTER_BITS = 26
 
 
@@ -31,13 +32,12 @@ def seed_hashes(
     words: np.ndarray, offsets: np.ndarray
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each mask the ``(places, hashes)`` of all texts."""
-    if len(words) < SPAN:
-        return
-    starts = np.arange(len(words) - SPAN + 1)
     ends = np.repeat(offsets[1:], np.diff(offsets))
-    starts = starts[starts + SPAN <= ends[: len(starts)]]
-    whole = len(words) - SPAN + 1
     for number, mask in enumerate(MASKS):
+        whole = len(words) - len(mask) + 1
+        if whole <= 0:
+            continue
+        starts = np.flatnonzero(np.arange(whole) + len(mask) <= ends[:whole])
         value = np.full(whole, number + 1, np.uint64)
         with np.errstate(over="ignore"):
             for i, counts in enumerate(mask):
@@ -91,6 +91,13 @@ def _has(table: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _stretches(a: np.ndarray, b: np.ndarray, shift: int, least: int, share: float) -> list[tuple[int, int]]:
+    """Where an item ``b`` stands in ``a``: as a whole, its ends agreeing or not, or in stretches."""
+    if 0 <= shift <= len(a) - len(b) and (a[shift : shift + len(b)] == b).sum() >= share * len(b) - 1e-9:
+        return [(shift, shift + len(b))]
+    return agreeing_runs(a, b, shift, min(least, len(b)), share)
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -103,7 +110,7 @@ def contaminated(
 ) -> DataFrame:
     """``(doc_id, mark, item_id, start, end, matched)``: stretches of items in documents.
 
-    A stretch has at least ``least_words`` words, or all of a shorter item, and
+    A stretch has at least ``least_words`` words, or is a whole item, and
     ``share`` or more of them agree in place. ``start`` and ``end`` count the
     document's words, the end is excluded; ``mark`` is a hash of all its words.
     Items of fewer than ten words are too short to tell a leak from a phrase
@@ -116,7 +123,7 @@ def contaminated(
         F.monotonically_increasing_id().alias("item"), F.col(item_id).alias("item_id"),
         word_hashes(F.col(item_text)).alias("item_words"),
     )
-    items = materialize(items.where(F.size("item_words") >= SPAN), "items")
+    items = materialize(items.where(F.size("item_words") >= LEAST), "items")
     seeds = _seeds(items.select("item", "item_words"))
     table = spark.sparkContext.broadcast(_filter(seeds))
 
@@ -183,9 +190,8 @@ def contaminated(
             lists_of = (batch.column(i) for i in (4, 5, 6))
             for i, (shifts, words, own) in enumerate(zip(*lists_of)):
                 a, b = words.values.to_numpy(), own.values.to_numpy()
-                least = min(least_words, len(b))
                 for shift in sorted(shifts.as_py()):
-                    for start, end in agreeing_runs(a, b, shift, least, share):
+                    for start, end in _stretches(a, b, shift, least_words, share):
                         same = int((a[start:end] == b[start - shift : end - shift]).sum())
                         kept.append(i)
                         rows.append((start, end, same))
