@@ -216,8 +216,17 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 def _counters(texts: DataFrame) -> np.ndarray:
     """In how many texts the shingles of each counter are; there are ``COUNTERS`` of them, whatever the size."""
-    each = texts.select(F.explode(F.array_distinct("shingles")).alias("shingle"))
-    counts = each.groupBy(F.pmod("shingle", F.lit(COUNTERS)).alias("at")).agg(F.count("*").alias("n"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for own in batch.column(0):
+                np.add.at(table, np.unique(own.values.to_numpy()) % COUNTERS, 1)
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["at", "n"])
+
+    each = texts.select("shingles").mapInArrow(count, "at bigint, n bigint")
+    counts = each.groupBy("at").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
     table = np.zeros(COUNTERS, np.int64)
     table[found.column("at").to_numpy()] = found.column("n").to_numpy()
