@@ -325,6 +325,43 @@ def test_contaminated(leaks):
     assert found == {(base + i, j) for base in (100, 200) for i in range(6) for j in items[i]} | {(400, None)}
 
 
+@pytest.mark.parametrize("size,replaced", [(10, [0]), (10, [3, 6]), (13, [0, 12]), (15, [1, 3, 5]), (15, None), (12, None), (30, None)])
+def test_items_are_found_whichever_fifth_of_the_words_is_replaced(docs_of, spark, size, replaced):
+    import random
+
+    own, docs, items = random.Random(size), [], []
+    for i in range(60):
+        item = words(("item", size, i), size)
+        items.append((i, " ".join(item)))
+        text = list(item)
+        for at in replaced or own.sample(range(size), size // 5):
+            text[at] = f"new{at}"
+        docs.append((i, " ".join(words(("a", i), 20) + text + words(("b", i), 20))))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs_of(docs), bench).collect()}
+    assert found <= {(i, i) for i in range(60)}
+    # Three masks of ten in a longer item may all be hit.
+    assert len(found) == 60 if size <= 15 else len(found) >= 57
+
+
+def test_agreeing_runs_are_the_longest_by_brute_force():
+    import random
+
+    own = random.Random(2)
+    for _ in range(300):
+        n = own.randint(1, 40)
+        a = np.array([own.randint(0, 1) for _ in range(n)])
+        b, least, share = np.ones(n, int), own.randint(1, 12), own.choice([0.5, 0.8, 1.0])
+        every = [
+            (x, y) for x in range(n) for y in range(x + least, n + 1)
+            if a[x] and a[y - 1] and a[x:y].sum() >= share * (y - x) - 1e-9
+        ]
+        wanted = [(x, y) for x, y in every if not any((u <= x and y <= v) and (u, v) != (x, y) for u, v in every)]
+        got = passages.agreeing_runs(a, b, 0, least, share)
+        # A stretch may begin inside a run of agreeing places only if a longer one begins at the run.
+        assert all(any(u <= x and y <= v for u, v in got) for x, y in wanted) and set(got) <= set(every)
+
+
 def test_decontamination_keeps_clean_documents(leaks, odd, clashing, none):
     docs, benchmark = leaks
     found = decontamination.contaminated(docs, benchmark)
