@@ -3,6 +3,9 @@
 The words go to Python in Arrow batches, as the list they are, and come back as
 a list or as sums. No word becomes a row, and nothing is shuffled. The tables
 have been measured before they are gathered: ``Limits`` bounds them.
+
+The functions are marked as not deterministic, though they are, so that the
+optimizer neither copies them into filters nor moves them below a shuffle.
 """
 from __future__ import annotations
 
@@ -46,7 +49,7 @@ def lemmas_of(words: Column, dictionary: DataFrame) -> Column:
             pa.array(ends, pa.int32()), pa.array([found.get(x, x) for x in values], pa.string())
         )
 
-    return lemmas(words)
+    return lemmas.asNondeterministic()(words)
 
 
 def tags_of(words: Column, tokens: DataFrame, suffixes: DataFrame, size: int, default: str) -> Column:
@@ -60,7 +63,7 @@ def tags_of(words: Column, tokens: DataFrame, suffixes: DataFrame, size: int, de
         tagged = [found.get(x) or by_suffix.get(x[-size:], default) for x in values]
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tagged, pa.string()))
 
-    return tags(words)
+    return tags.asNondeterministic()(words)
 
 
 def sums_of(words: Column, table: DataFrame, key: str, values: list[str]) -> Column:
@@ -78,4 +81,4 @@ def sums_of(words: Column, table: DataFrame, key: str, values: list[str]) -> Col
         cuts = np.arange(len(each) + 1) * matrix.shape[1]
         return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(each.reshape(-1)))
 
-    return sums(words)
+    return sums.asNondeterministic()(words)

@@ -73,17 +73,15 @@ def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> Da
 
 
 def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Use all cores for an input that comes in fewer files than there are.
+    """Use all cores for an input that is read in fewer pieces than there are.
 
-    Work on text is heavy for its size, so a few large files are worth a
-    shuffle. An input of more files is left as it is. Only the files are
-    listed; no rows are read.
+    Work on text is heavy for its size, so a few pieces are worth a shuffle. An
+    input that splits into more is left as it is, however few its files are. Of a
+    table as it is read, only the plan is asked; an input with shuffles of its
+    own is computed up to the last of them to know its pieces.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    return df.repartition(cores, *key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)
 
 
 def ship_library(spark: SparkSession) -> SparkSession:

@@ -108,10 +108,22 @@ def test_views_preview_and_count(spark):
 def test_spread(spark):
     one = spark.range(100).coalesce(1)
     assert sources.spread(one, "id").rdd.getNumPartitions() == 8
-    many = spark.range(100).repartition(20)
+    many = spark.range(0, 100, 1, 20)
     assert sources.spread(many, "id") is many
 
 
+def test_one_file_that_splits_is_not_spread(spark, tmp_path):
+    spark.range(200_000).coalesce(1).write.parquet(f"{tmp_path}/one")
+    table = spark.read.parquet(f"{tmp_path}/one")
+    assert sources.spread(table, "id") is not table
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        table = spark.read.parquet(f"{tmp_path}/one")
+        assert sources.spread(table, "id") is table
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_scratch_is_in_the_folder_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert sources.scratch_path(spark, "x").startswith(folder)

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.ml.feature import StopWordsRemover
@@ -257,3 +258,22 @@ def test_tables_that_fit_need_no_shuffle(spark, plan):
         plans.annotate_reviews(texts, mood, tongue, tagger),
     ):
         assert "Exchange" not in plan(result)
+
+
+def test_words_go_to_python_once(spark, plan):
+    texts = docs(spark, "the bad book", "a good one").repartition(4)
+    training = spark.createDataFrame(TRAINING, "text string, label string")
+    mood = plans.train_sentiment(training)
+    tongue = op.train_nb(training, "label", fx.clean_words(F.col("text")))
+    tagger = op.train_tagger(spark.createDataFrame([("bad", "J")], "token string, tag string"))
+    dictionary = spark.createDataFrame([("books", "book")], "form string, lemma string")
+    lemmas = plans.review_lemmas(texts, dictionary)
+    lists = [name for name, kind in lemmas.dtypes if kind == "array<string>"]
+    assert lists
+    for result in (
+        lemmas,
+        lemmas.select("Id", F.posexplode(lists[-1])),
+        op.tag_tokens(texts, tagger, ["Id"], fx.tokenize(F.col("text"))),
+        plans.annotate_reviews(texts, mood, tongue, tagger),
+    ):
+        assert len(re.findall(r"^\(\d+\) ArrowEvalPython", plan(result), re.M)) == 1
