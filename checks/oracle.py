@@ -204,6 +204,22 @@ VIEWS |= _predict(
     "moods", "mood", 'SELECT "Id" FROM texts',
     'SELECT "Id", word AS w FROM marked_features', '"Id"',
 )
+VIEWS |= _predict(
+    "doc_languages", "language", "SELECT doc_id FROM documents",
+    "SELECT doc_id, word AS w FROM doc_words", "doc_id",
+)
+VIEWS |= _bayes(
+    "staged",
+    """SELECT l.label, w.word AS w FROM labelled l JOIN doc_words w ON l.doc_id = w.doc_id
+       UNION ALL SELECT l.label, 'lang:' || d.label FROM labelled l
+       JOIN doc_languages d ON l.doc_id = d.doc_id""",
+    "SELECT label, count(*) AS texts FROM labelled GROUP BY label",
+)
+VIEWS |= _predict(
+    "staged_turns", "staged", "SELECT conv_id, turn FROM conversations",
+    """SELECT conv_id, turn, word AS w FROM turn_words
+       UNION ALL SELECT conv_id, turn, 'lang:' || label FROM turn_languages""", "conv_id, turn",
+)
 
 
 def _tags(name: str, key: str) -> str:
@@ -270,7 +286,16 @@ SELECTS = {
         SELECT p.id, c.id AS cid FROM far_people p JOIN far_people c
         ON p.id <> c.id AND sqrt(pow(p.x - c.x, 2) + pow(p.y - c.y, 2)) <= 6.0
         WHERE c.status = 'yes'""",
+    "distance_join_dense": """
+        SELECT p.id, c.id AS cid FROM close_people p JOIN close_people c
+        ON p.id <> c.id
+           AND sqrt(pow(p.x * 16 - c.x * 16, 2) + pow(p.y * 2 - c.y * 2, 2)) <= 6.0
+        WHERE c.status = 'yes'""",
     "pair_count": "SELECT count(*) AS n FROM pairs",
+    "pair_count_crowded": """
+        SELECT count(*) AS n FROM close_people p JOIN close_people c
+        ON p.id <> c.id AND sqrt(pow(p.x - c.x, 2) + pow(p.y - c.y, 2)) <= 6.0
+        WHERE c.status = 'yes'""",
     "near_ids": "SELECT DISTINCT id FROM pairs",
     "near_people": "SELECT * FROM people WHERE id IN (SELECT id FROM pairs)",
     "neighbor_count": """
@@ -336,6 +361,8 @@ SELECTS = {
     "detect_language": 'SELECT "Id", label AS language, score AS best_score FROM languages',
     "detect_language_large":
         'SELECT "Id", label AS language, score AS best_score FROM languages',
+    "detect_language_saved":
+        'SELECT "Id", label AS language, score AS best_score FROM languages',
     "detect_turn_language":
         "SELECT conv_id, turn, label AS language, score AS best_score FROM turn_languages",
     "train_sentiment": "SELECT w, label, weight FROM mood_weights",
@@ -346,6 +373,7 @@ SELECTS = {
         UNION ALL SELECT 'default', '', tag FROM any_tag""",
     "tag_tokens": _tagged("turn_tokens", "conv_id, turn"),
     "tag_tokens_large": _tagged("turn_tokens", "conv_id, turn"),
+    "tag_tokens_saved": _tagged("turn_tokens", "conv_id, turn"),
     "annotate_reviews": f"""
         SELECT t."Id", m.label AS sentiment, l.label AS language, t.pos, t.tag
         FROM ({_tagged("tokens", '"Id"')}) t JOIN moods m ON t."Id" = m."Id"
@@ -353,6 +381,9 @@ SELECTS = {
     "pipeline_annotations": """
         SELECT l."Id", l.label AS language, m.label AS sentiment
         FROM languages l JOIN moods m ON l."Id" = m."Id" """,
+    "pipeline_fit_transform": """
+        SELECT s.conv_id, s.turn, l.label AS language, s.label AS mood, s.score AS best_score
+        FROM staged_turns s JOIN turn_languages l ON s.conv_id = l.conv_id AND s.turn = l.turn""",
     "title_sentiment": _title_sentiment('b."Title" = p."Title"'),
     "title_sentiment_counting_null":
         _title_sentiment('b."Title" IS NOT DISTINCT FROM p."Title"'),

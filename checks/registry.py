@@ -92,8 +92,29 @@ def distance_join_far(spark, sf):
     return op.distance_join(far, far.where(F.col("status") == "yes"))
 
 
+def _close_people(spark, sf):
+    """All customers in a few cells."""
+    key = F.col("id").cast("bigint")
+    return given.people_status(spark, sf).withColumns(
+        {"x": (key % 41) / 10.0, "y": (key % 307) / 50.0}
+    )
+
+
+def distance_join_dense(spark, sf):
+    """Few other people, but so close together that finer cells are used."""
+    near = _close_people(spark, sf)
+    spread_out = near.withColumns({"x": F.col("x") * 16.0, "y": F.col("y") * 2.0})
+    return op.distance_join(spread_out, spread_out.where(F.col("status") == "yes"), crowd=16)
+
+
 def pair_count(spark, sf):
-    return sources.row_count(distance_join(spark, sf))
+    return op.pair_count(given.people(spark, sf), given.connected(spark, sf))
+
+
+def pair_count_crowded(spark, sf):
+    """Pairs in a few cells, too many to list."""
+    near = _close_people(spark, sf)
+    return op.pair_count(near, near.where(F.col("status") == "yes"))
 
 
 def near_ids(spark, sf):
@@ -111,10 +132,7 @@ def neighbor_count(spark, sf):
 
 def neighbor_count_crowded(spark, sf):
     """All customers in a few cells, with more places in one than are compared one by one."""
-    key = F.col("id").cast("bigint")
-    everyone = given.people_status(spark, sf).withColumns(
-        {"x": (key % 41) / 10.0, "y": (key % 307) / 50.0}
-    )
+    everyone = _close_people(spark, sf)
     return op.neighbor_count(everyone.where(F.col("status") == "yes"), everyone)
 
 
@@ -249,6 +267,19 @@ def detect_language_large(spark, sf, model=None):
     return detect_language(spark, sf, model, op.Limits(max_rows=0))
 
 
+def detect_language_saved(spark, sf):
+    """With models that were saved and loaded again."""
+    path = sources.scratch_path(spark, "language")
+    _language_model(spark, sf).save(path)
+    return detect_language(spark, sf, plans.load_model(spark, path))
+
+
+def tag_tokens_saved(spark, sf):
+    path = sources.scratch_path(spark, "tagger")
+    _tagger(spark, sf).save(path)
+    return tag_tokens(spark, sf, plans.load_model(spark, path))
+
+
 def detect_turn_language(spark, sf):
     words = fx.clean_words(F.col("text"))
     turns = given.turns(spark, sf)
@@ -314,6 +345,41 @@ def pipeline_annotations(spark, sf):
     return plans.text_features(_texts(spark, sf), steps)
 
 
+def _staged(text, language):
+    words = F.coalesce(fx.clean_words(text), F.array().cast("array<string>"))
+    return F.concat(words, F.array(F.concat(F.lit("lang:"), language)))
+
+
+def pipeline_fit_transform(spark, sf):
+    """Fitted on the documents, saved, loaded and applied to the turns of conversations.
+
+    The second model is trained on the language that the first one finds.
+    """
+    steps = [
+        ("words", "text", fx.clean_words),
+        plans.Fit(
+            lambda docs: op.train_nb(docs, "lang", F.col("words")),
+            lambda docs, model: op.predict_nb(
+                docs, model, [x for x in docs.columns if x != "words"], F.col("words"), "language"
+            ),
+        ),
+        lambda docs: docs.withColumn("staged", _staged(F.col("text"), F.col("language"))),
+        plans.Fit(
+            lambda docs: op.train_nb(docs, "label", F.col("staged")),
+            lambda docs, model: op.predict_nb(
+                docs, model, [x for x in docs.columns if x not in ("staged", "text")],
+                F.col("staged"), "mood", scores=True,
+            ),
+        ),
+    ]
+    moods = given.labelled(spark, sf).select("doc_id", "label")
+    docs = given.documents(spark, sf).select("doc_id", "text", "lang").join(moods, "doc_id", "left")
+    path = sources.scratch_path(spark, "pipeline")
+    plans.fit_pipeline(docs, steps).save(path)
+    turns = given.turns(spark, sf).select("conv_id", "turn", "text")
+    return plans.load_pipeline(spark, path, steps).transform(turns)
+
+
 def title_sentiment(spark, sf, model=None):
     model = model or _sentiment_model(spark, sf)
     return plans.title_sentiment(given.review_texts(spark, sf), model)
@@ -329,16 +395,17 @@ QUERIES: dict[str, Query] = {
     for query in (
         scan_people_csv, scan_status_csv, scan_header_substring, scan_reviews_csv,
         scan_books_csv, parquet_roundtrip, view_sql_preview, sample_reviews,
-        distance_join, distance_join_far, pair_count, near_ids, near_people, neighbor_count, neighbor_count_crowded,
+        distance_join, distance_join_far, distance_join_dense, pair_count, pair_count_crowded,
+        near_ids, near_people, neighbor_count, neighbor_count_crowded,
         clean_reviews, score_stats, user_stats, explode_categories,
         reviews_by_category, user_category_stats, user_category_stats_active,
         tokenize, normalize_tokens, remove_stopwords, remove_stopwords_named, text_features,
         mark_negation, word_count,
         build_lemma_dict, lemmatize, review_lemmas, top_words,
-        train_language, detect_language, detect_language_large, detect_turn_language,
-        train_sentiment, predict_sentiment, train_tagger, tag_tokens,
-        tag_tokens_large,
-        annotate_reviews, pipeline_annotations, title_sentiment, title_sentiment_counting_null,
+        train_language, detect_language, detect_language_large, detect_language_saved,
+        detect_turn_language, train_sentiment, predict_sentiment, train_tagger, tag_tokens,
+        tag_tokens_large, tag_tokens_saved,
+        annotate_reviews, pipeline_annotations, pipeline_fit_transform, title_sentiment, title_sentiment_counting_null,
     )
 }
 

@@ -1,7 +1,13 @@
 """Joins, aggregates and trained models over DataFrames."""
 from gridlore.operators.bayes import NaiveBayes, predict_nb, train_nb
 from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize, top_words
-from gridlore.operators.proximity import distance_join, near_ids, near_people, neighbor_count
+from gridlore.operators.proximity import (
+    distance_join,
+    near_ids,
+    near_people,
+    neighbor_count,
+    pair_count,
+)
 from gridlore.operators.reviews import (
     clean_reviews,
     explode_categories,
@@ -17,7 +23,7 @@ from gridlore.operators.tokens import drop_words, word_count
 __all__ = [
     "NaiveBayes", "predict_nb", "train_nb", "build_lemma_dict", "lemma_count",
     "lemmatize", "top_words", "distance_join", "near_ids", "near_people",
-    "neighbor_count", "clean_reviews", "explode_categories", "reviews_by_category",
+    "neighbor_count", "pair_count", "clean_reviews", "explode_categories", "reviews_by_category",
     "score_stats", "user_category_stats", "user_stats", "Limits", "balanced_join",
     "lookup", "salted_join",
     "Tagger", "tag_tokens", "train_tagger", "drop_words", "word_count",

@@ -8,12 +8,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlore.operators.mapped import sums_of
 from gridlore.operators.skew import DEFAULT, Limits, lookup
+from gridlore.operators.stored import facts_of, load_tables, save_model
 from gridlore.operators.tokens import copies, group_columns, repeat_many, token_rows
 from gridlore.sources.shared import materialize
 
@@ -28,6 +30,8 @@ class NaiveBayes:
     the order of ``labels``.
     """
 
+    KIND: ClassVar[str] = "naive_bayes"
+
     labels: tuple[str, ...]
     priors: tuple[int, ...]
     weights: DataFrame
@@ -40,6 +44,17 @@ class NaiveBayes:
         ]
         return self.weights.select("w", F.inline(F.array(*pairs)))
 
+    def save(self, path: str) -> None:
+        """Write the model to a new folder."""
+        facts = {"labels": list(self.labels), "priors": list(self.priors)}
+        save_model(self.weights.sparkSession, path, self.KIND, facts, {"weights": self.weights})
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> NaiveBayes:
+        facts = facts_of(spark, path, cls.KIND)
+        (weights,) = load_tables(spark, path, "weights")
+        return cls(tuple(facts["labels"]), tuple(facts["priors"]), weights)
+
 
 def train_nb(
     docs: DataFrame, label: str, words: Column, max_labels: int = 1000

@@ -3,12 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlore.operators.mapped import tags_of
 from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
+from gridlore.operators.stored import facts_of, load_tables, save_model
 from gridlore.operators.tokens import regroup, repeat_many, token_rows
 from gridlore.sources.shared import materialize
 
@@ -20,6 +22,8 @@ class Tagger:
     """Written tables ``(token, tag)`` and ``(suffix, tag)``, and one tag for
     everything else."""
 
+    KIND: ClassVar[str] = "tagger"
+
     tokens: DataFrame
     suffixes: DataFrame
     default: str
@@ -40,6 +44,16 @@ class Tagger:
             .unionByName(rest)
         )
 
+    def save(self, path: str) -> None:
+        """Write the tagger to a new folder."""
+        tables = {"tokens": self.tokens, "suffixes": self.suffixes}
+        save_model(self.tokens.sparkSession, path, self.KIND, {"default": self.default}, tables)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Tagger:
+        facts = facts_of(spark, path, cls.KIND)
+        return cls(*load_tables(spark, path, "tokens", "suffixes"), facts["default"])
+
 
 def _commonest(counts: DataFrame, key: str) -> DataFrame:
     # The smallest of (-n, tag) is the most frequent tag, then the first by name.

@@ -6,6 +6,7 @@ from gridlore.plans.annotations import (
     text_features,
     top_lemmas,
 )
+from gridlore.plans.fitted import Fit, FittedPipeline, fit_pipeline, load_model, load_pipeline
 from gridlore.plans.sentiment import (
     predict_sentiment,
     sentiment_words,
@@ -16,5 +17,6 @@ from gridlore.plans.sentiment import (
 
 __all__ = [
     "annotate_reviews", "review_lemmas", "review_vocabulary", "text_features", "top_lemmas",
+    "Fit", "FittedPipeline", "fit_pipeline", "load_model", "load_pipeline",
     "predict_sentiment", "sentiment_words", "title_sentiment", "title_stats", "train_sentiment",
 ]

@@ -21,9 +21,51 @@ def rows(df):
 
 
 def test_hot_keys_are_few_and_sliced_by_share(spark):
-    found = hot_keys(skewed(spark), ["k"], Limits(parts=30, min_rows=2)).collect()
-    assert [tuple(r) for r in found] == [(1, 11)]
-    assert hot_keys(skewed(spark), ["k"], Limits(parts=30, min_rows=402)).count() == 0
+    found = hot_keys(skewed(spark), None, ["k"], Limits(parts=30, min_rows=2)).collect()
+    assert [tuple(r) for r in found] == [(1, 16, 1)]
+    assert hot_keys(skewed(spark), None, ["k"], Limits(parts=30, min_rows=402)).count() == 0
+
+
+def of_keys(spark, counts):
+    """Rows ``(k, a)``, for each key as many as ``counts`` says."""
+    sizes = spark.createDataFrame(list(counts.items()), "k long, n long")
+    return sizes.select("k", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("a"))
+
+
+def test_slices_follow_the_work_of_both_sides(spark):
+    limits = Limits(parts=16, min_rows=100)
+    # Key 1 makes as many pairs as rows of key 2 are read; keys 3 and up are small.
+    small = {k: 4 for k in range(3, 60)}
+    left = of_keys(spark, {1: 300, 2: 90_000, **small})
+    right = of_keys(spark, {1: 300, 2: 1, **small})
+    found = {r.k: r for r in hot_keys(left, right, ["k"], limits, cut_right=True).collect()}
+    assert set(found) == {1, 2}
+    assert (found[1].left_slices, found[1].right_slices) == (2, 3)
+    assert (found[2].left_slices, found[2].right_slices) == (11, 1)
+    only_left = {r.k: r for r in hot_keys(left, right, ["k"], limits).collect()}
+    assert (only_left[1].left_slices, only_left[1].right_slices) == (6, 1)
+    # No more slices than a side has rows.
+    one = hot_keys(of_keys(spark, {1: 1}), of_keys(spark, {1: 500}), ["k"], limits, cut_right=True)
+    assert [tuple(r) for r in one.collect()] == [(1, 1, 11)]
+
+
+def test_a_key_dense_on_both_sides_is_shared_out(spark):
+    # 3,000 x 3,000 rows of one key make 9,000,000 pairs, from far fewer than 100,000 rows.
+    rest = {k: 1 for k in range(2, 3000)}
+    left, right = of_keys(spark, {1: 3000, **rest}), of_keys(spark, {1: 3000, **rest})
+    right = right.withColumnRenamed("a", "b")
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.shuffle.partitions", 32)
+    try:
+        joined = salted_join(left, right, ["k"], hint="merge", limits=Limits(min_rows=100_000))
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sum(sizes) == 3000 * 3000 + len(rest)
+    assert max(sizes) < 3000 * 3000 / 8
 
 
 def test_joins_equal_ordinary_joins(spark):
