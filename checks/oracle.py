@@ -276,6 +276,9 @@ SELECTS = {
     "scan_status_csv": "SELECT id, x, y, status FROM people_status",
     "scan_header_substring": "SELECT * FROM people WHERE f3 NOT LIKE '%id%'",
     "scan_reviews_csv": f"SELECT {_REVIEW}, nullif(text, '') AS text FROM reviews",
+    "scan_reviews_inferred": f"SELECT {_REVIEW}, nullif(text, '') AS text FROM reviews",
+    "scan_reviews_split": f"SELECT {_REVIEW}, nullif(text, '') AS text FROM reviews",
+    "sample_orders": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 5000",
     "scan_books_csv": "SELECT * FROM books",
     "parquet_roundtrip": "SELECT * FROM cleaned",
     "view_sql_preview":
@@ -415,4 +418,7 @@ def _with_views(select: str) -> str:
     return f"WITH {views}\n{select.strip()}" if views else select.strip()
 
 
+for small in ("annotate_reviews", "remove_stopwords_named"):
+    SELECTS[f"{small}_large"] = SELECTS[small]
+
 ORACLE: dict[str, str] = {key: _with_views(sql) for key, sql in SELECTS.items()}

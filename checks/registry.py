@@ -43,7 +43,8 @@ def scan_header_substring(spark, sf):
     return sources.read_people(spark, path, header_substring="id")
 
 
-def scan_reviews_csv(spark, sf):
+def _reviews_csv(spark, sf):
+    """The folder of a review CSV and its schema."""
     path = sources.scratch_path(spark, "reviews")
     raw = given.reviews(spark, sf).select(
         "Id",
@@ -54,7 +55,22 @@ def scan_reviews_csv(spark, sf):
         F.col("text").alias("review/text"),
     )
     sources.write_quoted_csv(raw, path)
-    return sources.read_reviews(spark, path, raw.schema)
+    return path, raw.schema
+
+
+def scan_reviews_csv(spark, sf):
+    return sources.read_reviews(spark, *_reviews_csv(spark, sf))
+
+
+def scan_reviews_inferred(spark, sf):
+    """The types are found by reading the files once more."""
+    rows = sources.read_reviews(spark, _reviews_csv(spark, sf)[0])
+    return rows.withColumn("Id", F.col("Id").cast("bigint"))
+
+
+def scan_reviews_split(spark, sf):
+    """Files with line breaks inside fields, read by blocks."""
+    return sources.as_reviews(sources.read_split_csv(spark, *_reviews_csv(spark, sf)))
 
 
 def scan_books_csv(spark, sf):
@@ -80,6 +96,12 @@ def sample_reviews(spark, sf):
     return sources.sample_rows(texts.select("Id", "text"), 100, "Id")
 
 
+def sample_orders(spark, sf):
+    """A sample too large to gather."""
+    orders = given.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return sources.sample_rows(orders, 5000, "o_orderkey")
+
+
 # --- proximity ---------------------------------------------------------------
 
 def distance_join(spark, sf):
@@ -191,11 +213,12 @@ def remove_stopwords(spark, sf):
     return _listed(_texts(spark, sf).select("Id", words.alias("words")), ["Id"], "words", "value")
 
 
-def remove_stopwords_named(spark, sf):
+def remove_stopwords_named(spark, sf, limits=op.Limits()):
     """The list is a table: all words of the benchmark."""
     words = fx.clean_words(F.col("text"))
     listed = given.table(spark, sf, "benchmark").select(F.explode(words).alias("word"))
-    return _listed(op.drop_words(_texts(spark, sf), ["Id"], words, listed), ["Id"], "words", "value")
+    left = op.drop_words(_texts(spark, sf), ["Id"], words, listed, limits=limits)
+    return _listed(left, ["Id"], "words", "value")
 
 
 def text_features(spark, sf):
@@ -328,12 +351,22 @@ def _annotators(spark, sf):
     return _sentiment_model(spark, sf), _language_model(spark, sf), _tagger(spark, sf)
 
 
-def annotate_reviews(spark, sf, model=None):
+def annotate_reviews(spark, sf, model=None, limits=op.Limits()):
     models = model or _annotators(spark, sf)
-    notes = plans.annotate_reviews(given.review_texts(spark, sf), *models)
+    notes = plans.annotate_reviews(given.review_texts(spark, sf), *models, limits=limits)
     return notes.select("Id", "sentiment", "language", F.posexplode("pos").alias("pos", "tag"))
 
 
+def annotate_reviews_large(spark, sf, model=None):
+    """As if the models were too large for a broadcast."""
+    return annotate_reviews(spark, sf, model, op.Limits(max_rows=0))
+
+
+def remove_stopwords_named_large(spark, sf):
+    """As if the list were too large for a broadcast."""
+    return remove_stopwords_named(spark, sf, op.Limits(max_rows=0))
+
+
 def pipeline_annotations(spark, sf):
     """Trained models as steps among others."""
     language, mood = _language_model(spark, sf), _sentiment_model(spark, sf)
@@ -394,18 +427,20 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         scan_people_csv, scan_status_csv, scan_header_substring, scan_reviews_csv,
+        scan_reviews_inferred, scan_reviews_split, sample_orders,
         scan_books_csv, parquet_roundtrip, view_sql_preview, sample_reviews,
         distance_join, distance_join_far, distance_join_dense, pair_count, pair_count_crowded,
         near_ids, near_people, neighbor_count, neighbor_count_crowded,
         clean_reviews, score_stats, user_stats, explode_categories,
         reviews_by_category, user_category_stats, user_category_stats_active,
-        tokenize, normalize_tokens, remove_stopwords, remove_stopwords_named, text_features,
+        tokenize, normalize_tokens, remove_stopwords, remove_stopwords_named, remove_stopwords_named_large,
+        text_features,
         mark_negation, word_count,
         build_lemma_dict, lemmatize, review_lemmas, top_words,
         train_language, detect_language, detect_language_large, detect_language_saved,
         detect_turn_language, train_sentiment, predict_sentiment, train_tagger, tag_tokens,
         tag_tokens_large, tag_tokens_saved,
-        annotate_reviews, pipeline_annotations, pipeline_fit_transform, title_sentiment, title_sentiment_counting_null,
+        annotate_reviews, annotate_reviews_large, pipeline_annotations, pipeline_fit_transform, title_sentiment, title_sentiment_counting_null,
     )
 }
 
@@ -417,4 +452,5 @@ TRAINERS = {
     "tag_tokens": _tagger,
     "title_sentiment": _sentiment_model,
     "annotate_reviews": _annotators,
+    "annotate_reviews_large": _annotators,
 }

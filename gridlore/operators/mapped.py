@@ -52,6 +52,27 @@ def lemmas_of(words: Column, dictionary: DataFrame) -> Column:
     return lemmas.asNondeterministic()(words)
 
 
+def not_in(words: Column, table: DataFrame, key: str, present: str) -> Column:
+    """The words whose lower case is not a ``key`` of ``table``, as a list."""
+    held = _held(table, key, [present])
+
+    @F.arrow_udf("array<string>")
+    def left(lists: pa.Array, lowered: pa.Array) -> pa.Array:
+        dropped = held.value
+        values, ends = _flat(lists)
+        small, _ = _flat(lowered)
+        stays = np.fromiter(
+            (word is not None and low not in dropped for word, low in zip(values, small)),
+            bool, len(values),
+        )
+        before = np.concatenate(([0], np.cumsum(stays)))
+        kept = pa.array(values, pa.string()).filter(pa.array(stays))
+        return pa.ListArray.from_arrays(pa.array(before[ends], pa.int32()), kept)
+
+    # Spark's lower case, which differs from Python's for a few characters.
+    return left.asNondeterministic()(words, F.transform(words, F.lower))
+
+
 def tags_of(words: Column, tokens: DataFrame, suffixes: DataFrame, size: int, default: str) -> Column:
     """Each word's tag, else that of its last ``size`` characters, else ``default``."""
     own, ends_with = _held(tokens, "token", ["tag"]), _held(suffixes, "suffix", ["tag"])

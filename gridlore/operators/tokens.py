@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlore.operators.skew import DEFAULT, Limits, lookup
+from gridlore.operators.mapped import not_in
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
+from gridlore.sources.shared import materialize
 
 # 128 bits that stand for all words of a text, and a part of the input. Copies
 # in different parts stay apart, so that no single task repeats all of them.
@@ -118,10 +120,13 @@ def drop_words(
     """``(*keep, out)``: the words of each text that are not in a table.
 
     ``dropped`` has the column ``word``; case does not matter. A text of which
-    no word is left has an empty list.
+    no word is left has an empty list. The table is written once; if it then fits
+    a broadcast, the words stay in their rows, otherwise they are joined to it.
     """
     table = dropped.select(F.lower("word").alias("_lower")).where("_lower IS NOT NULL").distinct()
-    table = table.withColumn("_dropped", F.lit(True))
+    table = materialize(table.withColumn("_dropped", F.lit(True)), "dropped")
+    if fits_broadcast(table, limits):
+        return docs.select(*keep, not_in(words, table, "_lower", "_dropped").alias(out))
     rows = token_rows(docs, keep, words).withColumn("_lower", F.lower("token"))
     rows = lookup(rows, table, ["_lower"], limits)
     left = rows.withColumn("_left", F.when(F.col("_dropped").isNull(), F.col("token")))

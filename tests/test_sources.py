@@ -163,3 +163,73 @@ def test_spread_reads_nothing(spark, tmp_path):
     assert spread.count() == 100
     made = spark.range(10)
     assert sources.spread(made) is made
+
+
+def _samples(spark, rows, n, monkeypatch):
+    from gridlore.sources import views
+
+    monkeypatch.setattr(views, "_FEW", 3)
+    monkeypatch.setattr(views, "_PARTS", 4)
+    df = spark.createDataFrame(rows, "k double, v string").repartition(5)
+    return [tuple(r) for r in sources.sample_rows(df, n, "k").collect()], df
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 5, 17, 60, 150, 300, 1000])
+def test_samples_are_the_smallest_keys(spark, monkeypatch, n):
+    rows = [(float((i * 37) % 101), str(i)) for i in range(300)]
+    rows += [(None, str(i)) for i in range(5)] + [(float("nan"), "x")] * 4
+    found, _ = _samples(spark, rows, n, monkeypatch)
+    order = lambda k: (k is not None, k != k, 0 if k is None or k != k else k)
+    wanted = sorted((r[0] for r in rows), key=order)[:n]
+    assert list(map(str, sorted((r[0] for r in found), key=order))) == list(map(str, wanted))
+    assert len(set(found) - {r for r in found if r[1] == "x"}) == len([r for r in found if r[1] != "x"])
+
+
+def test_samples_of_equal_keys_do_not_depend_on_partitions(spark, monkeypatch):
+    rows = [(1.0, str(i % 40)) for i in range(200)] + [(0.0, "first")]
+    found, df = _samples(spark, rows, 47, monkeypatch)
+    again = [tuple(r) for r in sources.sample_rows(df.coalesce(1), 47, "k").collect()]
+    assert sorted(found) == sorted(again) and len(found) == 47 and (0.0, "first") in found
+    copies, _ = _samples(spark, [(1.0, "same")] * 90, 33, monkeypatch)
+    assert copies == [(1.0, "same")] * 33
+
+
+def test_a_large_sample_goes_through_no_single_task(spark, plan, tmp_path):
+    spark.range(0, 50_000, 1, 8).selectExpr("id % 9973 AS k", "id").write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    sample = sources.sample_rows(table, 20_000, "k")
+    text = plan(sample)
+    assert "Exchange" not in text and "TakeOrdered" not in text and "LessThan" in text
+    assert sample.count() == 20_000
+    assert sample.agg(F.max("k")).first()[0] == table.orderBy("k").limit(20_000).agg(F.max("k")).first()[0]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_are_put_together_from_blocks(spark, tmp_path, end):
+    texts = [
+        "plain", "two\nlines", 'a "quoted" word', "a, b", "\n\n\n", "x\n" * 40, '"', '""\n"', "",
+        "  blanks  ", "long " * 60, 'quote "\nat the end of a line', "é\nü", "last\n",
+    ]
+    for part in range(3):
+        lines = ["Id,Title,Price,User_id,review/score,review/text"]
+        for i in range(120):
+            text = texts[(i * 5 + part) % len(texts)].replace('"', '""')
+            lines.append(f'{part}-{i},"T, {i % 7}",1.5,u,4.0,"{text}"')
+        (tmp_path / f"{part}.csv").write_bytes(end.join([*lines, ""][: 122 - part % 2]).encode())
+    (tmp_path / "empty.csv").write_text("Id,Title,Price,User_id,review/score,review/text\n")
+    whole = sources.read_quoted_csv(spark, str(tmp_path), RAW)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        assert spark.read.text(f"{tmp_path}/0.csv").rdd.getNumPartitions() > 20
+        parts = sources.read_split_csv(spark, str(tmp_path), RAW)
+        found = sorted(map(str, parts.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == sorted(map(str, whole.collect())) and len(found) == 360
+
+
+def test_records_of_a_file_without_rows(spark, tmp_path):
+    path = write(tmp_path / "p.csv", "Id,text\n")
+    assert sources.read_split_csv(spark, path, "Id string, text string").collect() == []

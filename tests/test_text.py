@@ -256,10 +256,29 @@ def test_tables_that_fit_need_no_shuffle(spark, plan):
         plans.review_lemmas(texts, dictionary),
         op.tag_tokens(texts, tagger, ["Id"], fx.tokenize(F.col("text"))),
         plans.annotate_reviews(texts, mood, tongue, tagger),
+        op.drop_words(texts, ["Id"], fx.tokenize(F.col("text")),
+                      dictionary.withColumnRenamed("form", "word")),
     ):
         assert "Exchange" not in plan(result)
 
 
+def test_large_models_are_met_in_one_join_and_gathered_once(spark, plan):
+    texts = docs(spark, "the bad book", "a good one", "a good one", "", None)
+    training = spark.createDataFrame(TRAINING, "text string, label string")
+    mood = plans.train_sentiment(training)
+    tongue = op.train_nb(training, "label", fx.clean_words(F.col("text")))
+    tagger = op.train_tagger(spark.createDataFrame([("bad", "J")], "token string, tag string"))
+    large = plans.annotate_reviews(texts, mood, tongue, tagger, ["Id"], Limits(max_rows=0))
+    small = plans.annotate_reviews(texts, mood, tongue, tagger, ["Id"])
+    text = plan(large)
+    # The words, the suffixes, and two branches of the same aggregation for few and many copies.
+    steps = re.findall(r"^\(\d+\) (SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", text, re.M)
+    branches = text.count("Union") and 2
+    assert len(steps) <= 2 * branches
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+    assert large.count() == 4
+
+
 def test_words_go_to_python_once(spark, plan):
     texts = docs(spark, "the bad book", "a good one").repartition(4)
     training = spark.createDataFrame(TRAINING, "text string, label string")
