@@ -277,7 +277,9 @@ def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
 def _possible(apart: DataFrame, outside: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
     """Pairs ``(a, b)`` of a text outside and one of another component that may be linked."""
     members = materialize(apart.select("node", "root").distinct(), "members")
-    texts = _only(shingles.withColumnRenamed("_row", "node"), members, "node").join(members, "node")
+    # Read twice. Where the members fit a broadcast, the shingles are not shuffled for it.
+    other = F.broadcast(members) if fits_broadcast(members, _NUMBERS) else members
+    texts = shingles.withColumnRenamed("_row", "node").join(other, "node")
     rarest = _prefixes(texts, threshold)
     lone = outside.select(F.col("node").alias("a")).distinct()
     own = rarest.withColumnsRenamed({"node": "a", **{x: f"_{x}" for x in ("root", "w", "n", "size", "plain")}})
