@@ -13,8 +13,9 @@ from typing import ClassVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlore.operators.blocks import answered, block_words, in_blocks, meet, sums
 from gridlore.operators.mapped import sums_of
-from gridlore.operators.skew import DEFAULT, Limits, lookup
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
 from gridlore.operators.stored import facts_of, load_tables, save_model
 from gridlore.operators.tokens import copies, group_columns, repeat_many, token_rows
 from gridlore.sources.shared import materialize
@@ -98,9 +99,9 @@ def train_nb(
 def score_columns(words: Column, model: NaiveBayes) -> Column:
     """The scores of all labels as a list, with a model that fits a broadcast."""
     names = [f"weight_{i}" for i in range(len(model.labels))]
-    sums = sums_of(words, model.weights, "w", names)
+    totals = sums_of(words, model.weights, "w", names)
     priors = F.array(*[F.lit(prior).cast("bigint") for prior in model.priors])
-    return F.zip_with(sums, priors, lambda a, b: a + b)
+    return F.zip_with(totals, priors, lambda a, b: a + b)
 
 
 def label_of(scores: Column, model: NaiveBayes) -> Column:
@@ -109,6 +110,41 @@ def label_of(scores: Column, model: NaiveBayes) -> Column:
     return F.get(names, (F.array_position(scores, F.array_max(scores)) - 1).cast("int"))
 
 
+def weight_lists(model: NaiveBayes) -> DataFrame:
+    """``(token, _weights)``, the weights of a word as a list."""
+    weights = F.array(*[f"weight_{i}" for i in range(len(model.labels))])
+    return model.weights.select(F.col("w").alias("token"), weights.alias("_weights"))
+
+
+def with_priors(sums: str, model: NaiveBayes) -> Column:
+    """The scores of all labels from the list of their words' sums."""
+    priors = F.array(*[F.lit(prior).cast("bigint") for prior in model.priors])
+    return F.zip_with(sums, priors, lambda a, b: a + b)
+
+
+def _predict_blocks(
+    docs: DataFrame,
+    model: NaiveBayes,
+    keep: Sequence[str],
+    words: Column,
+    out: str,
+    scores: bool,
+    copies_as: str | None,
+) -> DataFrame:
+    """``predict_nb`` with a model too large to hold."""
+    blocks, labels = in_blocks(docs, keep, [words]), len(model.labels)
+    found = meet(block_words(blocks), weight_lists(model), ["token"])
+    found = found.select("_block", "_kind", "_code", "_weights")
+    summed = answered(
+        blocks, found, keep, {"_sums": "array<bigint>"},
+        lambda codes, tables: [sums(codes[0], tables[0], "_weights", labels)],
+    )
+    judged = summed.withColumn("_sums", with_priors("_sums", model))
+    best = [F.array_max("_sums").alias("best_score")] if scores else []
+    one = [F.lit(1).cast("bigint").alias(copies_as)] if copies_as is not None else []
+    return judged.select(*keep, label_of(F.col("_sums"), model).alias(out), *best, *one)
+
+
 def predict_nb(
     docs: DataFrame,
     model: NaiveBayes,
@@ -125,10 +161,15 @@ def predict_nb(
     Words that were not seen in training do not count, a text without known
     words gets the commonest label, and equal scores go to the first label.
     ``scores`` adds the winning score. There is one row for each text; with
-    ``copies_as`` texts that are copies share one row, their number in the
+    ``copies_as`` texts that are copies may share one row, their number in the
     column of that name. ``by`` is explained at ``group_columns``; with it,
-    those columns are kept and no others.
+    those columns are kept and no others. With a model too large for a
+    broadcast the texts are written when this is called.
     """
+    if not fits_broadcast(model.weights, limits):
+        return _predict_blocks(
+            docs, model, list(keep if by is None else by), words, out, scores, copies_as
+        )
     if by is not None:
         keep = []
     rows = token_rows(docs, keep, words, by)

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.operators.blocks import answered, block_words, in_blocks, meet, picked
 from gridlore.operators.mapped import lemmas_of
-from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
-from gridlore.operators.tokens import regroup, repeat_many, token_rows
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast
 
 # Endings that are taken off to find the lemma of a form.
 ENDINGS = ("s", "ed", "ing")
@@ -51,14 +51,19 @@ def lemmatize(
     """``(*keep, out)`` with the lemma of each word, or the word itself.
 
     One row for each text. ``dictionary`` should be a written table. If it fits
-    a broadcast, the words stay in their rows; otherwise they are joined to it.
+    a broadcast, the words stay in their rows; otherwise the texts are written when
+    this is called, and the different words of a block of them are joined to it.
     """
     if fits_broadcast(dictionary, limits):
         return docs.select(*keep, lemmas_of(words, dictionary).alias(out))
     forms = dictionary.select(F.col("form").alias("token"), "lemma")
-    rows = lookup(token_rows(docs, keep, words), forms, ["token"], limits)
-    lemmas = rows.withColumn("lemma", F.coalesce("lemma", "token"))
-    return repeat_many(regroup(lemmas, keep, "lemma", out), "_copies")
+    blocks = in_blocks(docs, keep, [words])
+    found = meet(block_words(blocks), forms, ["token"])
+    lemma = F.coalesce("lemma", "token").alias("lemma")
+    return answered(
+        blocks, found.select("_block", "_kind", "_code", lemma), keep, {out: "array<string>"},
+        lambda codes, tables: [picked(codes[0], tables[0], "lemma")],
+    )
 
 
 def lemma_count(counts: DataFrame, dictionary: DataFrame, min_length: int = 3) -> DataFrame:

@@ -8,10 +8,10 @@ from typing import ClassVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlore.operators.blocks import answered, block_words, in_blocks, meet, picked
 from gridlore.operators.mapped import tags_of
 from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
 from gridlore.operators.stored import facts_of, load_tables, save_model
-from gridlore.operators.tokens import regroup, repeat_many, token_rows
 from gridlore.sources.shared import materialize
 
 SUFFIX = 3
@@ -93,6 +93,20 @@ def tag_column(words: Column, tagger: Tagger) -> Column:
     return tags_of(words, tagger.tokens, tagger.suffixes, SUFFIX, tagger.default)
 
 
+def suffixed(rows: DataFrame, tagger: Tagger, limits: Limits, wanted: Column | None = None) -> DataFrame:
+    """Rows ``token, tag`` with ``_tag``, for a NULL one that of the suffix or the commonest."""
+    # Only a word without a tag needs its suffix.
+    untagged = F.col("tag").isNull() if wanted is None else F.col("tag").isNull() & wanted
+    suffix = F.when(untagged, F.right("token", F.lit(SUFFIX)))
+    found = lookup(
+        rows.withColumn("suffix", suffix),
+        tagger.suffixes.withColumnRenamed("tag", "_suffix_tag"),
+        ["suffix"],
+        limits,
+    )
+    return found.withColumn("_tag", F.coalesce("tag", "_suffix_tag", F.lit(tagger.default)))
+
+
 def tag_tokens(
     docs: DataFrame,
     tagger: Tagger,
@@ -107,25 +121,19 @@ def tag_tokens(
 
     The tag is that of the word, else of its last three characters, else the
     commonest of all. There is one row for each text; with ``copies_as`` texts
-    that are copies share one row, their number in the column of that name.
-    ``by`` is explained at ``group_columns``.
+    that are copies may share one row, their number in the column of that name.
+    ``by`` is explained at ``group_columns``. With a tagger too large for a
+    broadcast the texts are written when this is called.
     """
     if fits_tagger(tagger, limits):
         one = [F.lit(1).cast("bigint").alias(copies_as)] if copies_as is not None else []
         tags = tag_column(words, tagger).alias(out)
         return docs.select(*keep, *(by or []), tags, *one)
-    rows = token_rows(docs, keep, words, by)
-    by_token = lookup(rows, tagger.tokens, ["token"], limits)
-    # Only a word without a tag needs its suffix.
-    suffix = F.when(F.col("tag").isNull(), F.right("token", F.lit(SUFFIX)))
-    by_suffix = lookup(
-        by_token.withColumn("suffix", suffix),
-        tagger.suffixes.withColumnRenamed("tag", "_suffix_tag"),
-        ["suffix"],
-        limits,
+    kept = [*keep, *(by or [])]
+    blocks = in_blocks(docs, kept, [words])
+    found = suffixed(meet(block_words(blocks), tagger.tokens, ["token"]), tagger, limits)
+    tagged = answered(
+        blocks, found.select("_block", "_kind", "_code", "_tag"), kept, {out: "array<string>"},
+        lambda codes, tables: [picked(codes[0], tables[0], "_tag")],
     )
-    tag = F.coalesce("tag", "_suffix_tag", F.lit(tagger.default))
-    groups = regroup(by_suffix.withColumn("_tag", tag), keep, "_tag", out, by)
-    if copies_as is not None:
-        return groups.withColumnRenamed("_copies", copies_as)
-    return repeat_many(groups, "_copies")
+    return tagged if copies_as is None else tagged.withColumn(copies_as, F.lit(1).cast("bigint"))

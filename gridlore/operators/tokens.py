@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.operators.blocks import answered, block_words, in_blocks, meet, picked_known
 from gridlore.operators.mapped import not_in
-from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast
 from gridlore.sources.shared import materialize
 
 # 128 bits that stand for all words of a text, and a part of the input. Copies
@@ -92,23 +93,6 @@ def repeat_many(groups: DataFrame, number: str, chunk: int = CHUNK) -> DataFrame
     return repeat_copies(few.unionByName(shared), number)
 
 
-def regroup(
-    rows: DataFrame, keep: Sequence[str], value: str, out: str, by: Sequence[str] | None = None
-) -> DataFrame:
-    """``(*keep, *by, out, _copies)`` with the values in the order of ``pos``.
-
-    A group is one text. Its copies give the same values at the same places,
-    which a set holds once.
-    """
-    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", value))
-    carried = [F.any_value(name).alias(name) for name in keep] if by is not None else []
-    groups = rows.groupBy(*group_columns(keep, by)).agg(
-        F.collect_set(placed).alias("_placed"), copies().alias("_copies"), *carried
-    )
-    values = F.transform(F.sort_array("_placed"), lambda p: p[value])
-    return groups.select(*keep, *(by or []), values.alias(out), "_copies")
-
-
 def drop_words(
     docs: DataFrame,
     keep: Sequence[str],
@@ -121,14 +105,17 @@ def drop_words(
 
     ``dropped`` has the column ``word``; case does not matter. A text of which
     no word is left has an empty list. The table is written once; if it then fits
-    a broadcast, the words stay in their rows, otherwise they are joined to it.
+    a broadcast, the words stay in their rows, otherwise the texts are written, too,
+    and the different words of a block of them are joined to it.
     """
     table = dropped.select(F.lower("word").alias("_lower")).where("_lower IS NOT NULL").distinct()
     table = materialize(table.withColumn("_dropped", F.lit(True)), "dropped")
     if fits_broadcast(table, limits):
         return docs.select(*keep, not_in(words, table, "_lower", "_dropped").alias(out))
-    rows = token_rows(docs, keep, words).withColumn("_lower", F.lower("token"))
-    rows = lookup(rows, table, ["_lower"], limits)
-    left = rows.withColumn("_left", F.when(F.col("_dropped").isNull(), F.col("token")))
-    groups = regroup(left, keep, "_left", "_words").withColumn(out, F.array_compact("_words"))
-    return repeat_many(groups.select(*keep, out, "_copies"), "_copies")
+    blocks = in_blocks(docs, keep, [words])
+    found = meet(block_words(blocks).withColumn("_lower", F.lower("token")), table, ["_lower"])
+    left = F.when(F.col("_dropped").isNull(), F.col("token")).alias("_left")
+    return answered(
+        blocks, found.select("_block", "_kind", "_code", left), keep, {out: "array<string>"},
+        lambda codes, tables: [picked_known(codes[0], tables[0], "_left")],
+    )

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from gridlore.functions.stopwords import ENGLISH_STOP_WORDS
 from gridlore.functions.words import clean_words, remove_stopwords, tokenize
-from gridlore.operators.bayes import NaiveBayes, label_of, score_columns
+from gridlore.operators.bayes import NaiveBayes, label_of, score_columns, weight_lists, with_priors
+from gridlore.operators.blocks import answered, block_words, in_blocks, meet, picked, sums
 from gridlore.operators.lemmas import build_lemma_dict, lemma_count, lemmatize, top_words
-from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast, lookup
-from gridlore.operators.tagging import SUFFIX, Tagger, fits_tagger, tag_column
-from gridlore.operators.tokens import repeat_many, same_text, word_count
+from gridlore.operators.skew import DEFAULT, Limits, fits_broadcast
+from gridlore.operators.tagging import Tagger, fits_tagger, suffixed, tag_column
+from gridlore.operators.tokens import word_count
 from gridlore.plans.sentiment import sentiment_words
 from gridlore.sources.shared import materialize
 
@@ -69,7 +70,8 @@ def annotate_reviews(
     """``(*keep, sentiment, language, pos)`` for each review with a text.
 
     The language is judged by all words, tags go to the tokens as written. With
-    models that fit a broadcast, each review is annotated where it is.
+    models that fit a broadcast, each review is annotated where it is; otherwise the
+    reviews are written when this is called.
     """
     written = reviews.where(F.col("text").isNotNull())
     models = [sentiment, language]
@@ -87,28 +89,19 @@ def annotate_reviews(
             label_of(F.col("_language"), language).alias("language"),
             "pos",
         )
-    return _annotate_rows(written, sentiment, language, tagger, keep, limits)
+    return _annotate_blocks(written, sentiment, language, tagger, keep, limits)
 
 
 _MOOD, _LANGUAGE, _TAG = 0, 1, 2
 
 
 def _weighed(model: NaiveBayes, kind: int) -> DataFrame:
-    weights = F.array(*[f"weight_{i}" for i in range(len(model.labels))])
-    return model.weights.select(
-        F.lit(kind).alias("_kind"), F.col("w").alias("token"), weights.alias("_weights"),
-        F.lit(None).cast("string").alias("_tag"),
+    return weight_lists(model).select(
+        F.lit(kind).alias("_kind"), "token", "_weights", F.lit(None).cast("string").alias("tag")
     )
 
 
-def _best(model: NaiveBayes, kind: int) -> Column:
-    """Aggregate: the scores of a text, from the rows of all its copies."""
-    own = F.col("_kind") == kind
-    sums = [F.sum(F.when(own, F.get("_weights", F.lit(i)))) for i in range(len(model.labels))]
-    return F.array(*[F.coalesce(x, F.lit(0).cast("bigint")) for x in sums])
-
-
-def _annotate_rows(
+def _annotate_blocks(
     written: DataFrame,
     sentiment: NaiveBayes,
     language: NaiveBayes,
@@ -118,70 +111,36 @@ def _annotate_rows(
 ) -> DataFrame:
     """``annotate_reviews`` with models too large to hold.
 
-    The words for all three results are rows of one table, told apart by a kind.
-    They meet the three models in one join, suffixes in a second, and come back
-    to their texts in one aggregation.
+    The different words of a block of texts, for all three results, are rows of one
+    table, told apart by a kind. They meet the three models in one join, suffixes in a
+    second, and come back to their block once.
     """
-    # Marks of a row, equal for copies only.
-    marks = ["_row1", "_row2"]
-    # Hashes pass over NULLs, so say which columns are NULL.
-    row = F.struct("text", *keep, *[F.col(name).isNull() for name in keep])
     text = F.col("text")
-    lists = [
-        F.struct(F.lit(kind).alias("_kind"), words.alias("_words"))
-        for kind, words in (
-            (_MOOD, sentiment_words(text)), (_LANGUAGE, clean_words(text)), (_TAG, tokenize(text)),
-        )
-    ]
-    texts = written.select(
-        *[mark.alias(name) for name, mark in zip(marks, same_text(row))],
-        F.struct(F.lit(0).alias("_none"), *keep).alias("_kept"),
-        F.inline(F.array(*lists)),
-    )
-    rows = texts.select("*", F.posexplode_outer("_words").alias("pos", "token"))
-    # One row of each text carries what is kept of it, and stands for the text in counts.
-    first = (F.col("_kind") == _TAG) & (F.coalesce("pos", F.lit(0)) == 0)
-    rows = rows.withColumn("_kept", F.when(first, F.col("_kept"))).drop("_words")
+    # In the order of the kinds.
+    lists = [sentiment_words(text), clean_words(text), tokenize(text)]
+    blocks = in_blocks(written, keep, lists)
     tags = tagger.tokens.select(
-        F.lit(_TAG).alias("_kind"), "token", F.lit(None).cast("array<bigint>").alias("_weights"),
-        F.col("tag").alias("_tag"),
+        F.lit(_TAG).alias("_kind"), "token", F.lit(None).cast("array<bigint>").alias("_weights"), "tag"
     )
     models = _weighed(sentiment, _MOOD).unionByName(_weighed(language, _LANGUAGE)).unionByName(tags)
-    found = lookup(rows, models, ["_kind", "token"], limits)
-    suffix = F.when(
-        (F.col("_kind") == _TAG) & F.col("_tag").isNull(), F.right("token", F.lit(SUFFIX))
+    found = meet(block_words(blocks), models, ["_kind", "token"])
+    found = suffixed(found, tagger, limits, F.col("_kind") == _TAG)
+    moods, languages = len(sentiment.labels), len(language.labels)
+    notes = answered(
+        blocks, found.select("_block", "_kind", "_code", "_weights", "_tag"), keep,
+        {"_mood": "array<bigint>", "_language": "array<bigint>", "pos": "array<string>"},
+        lambda codes, tables: [
+            sums(codes[_MOOD], tables[_MOOD], "_weights", moods),
+            sums(codes[_LANGUAGE], tables[_LANGUAGE], "_weights", languages),
+            picked(codes[_TAG], tables[_TAG], "_tag"),
+        ],
     )
-    found = lookup(
-        found.withColumn("suffix", suffix),
-        tagger.suffixes.withColumnRenamed("tag", "_suffix_tag"),
-        ["suffix"],
-        limits,
-    )
-    tag = F.coalesce("_tag", "_suffix_tag", F.lit(tagger.default)).alias("tag")
-    placed = F.when((F.col("_kind") == _TAG) & F.col("pos").isNotNull(), F.struct("pos", tag))
-    notes = found.groupBy(*marks).agg(
-        F.any_value("_kept", True).alias("_kept"),
-        F.count("_kept").alias("_copies"),
-        _best(sentiment, _MOOD).alias("_mood"),
-        _best(language, _LANGUAGE).alias("_language"),
-        # Copies give the same tags at the same places, which a set holds once.
-        F.sort_array(F.collect_set(placed)).alias("_placed"),
-    )
-
-    def judged(sums: str, model: NaiveBayes) -> Column:
-        # Copies add up to a multiple of the score of one text.
-        priors = F.array(*[F.lit(prior).cast("bigint") for prior in model.priors])
-        own = F.expr(f"transform({sums}, x -> x div _copies)")
-        return label_of(F.zip_with(own, priors, lambda a, b: a + b), model)
-
-    notes = notes.select(
-        *[F.col("_kept")[name].alias(name) for name in keep],
-        judged("_mood", sentiment).alias("sentiment"),
-        judged("_language", language).alias("language"),
-        F.transform("_placed", lambda p: p["tag"]).alias("pos"),
-        "_copies",
+    return notes.select(
+        *keep,
+        label_of(with_priors("_mood", sentiment), sentiment).alias("sentiment"),
+        label_of(with_priors("_language", language), language).alias("language"),
+        "pos",
     )
-    return repeat_many(notes, "_copies")
 
 
 Step = tuple[str, str, Callable[[Column], Column]] | Callable[[DataFrame], DataFrame]
