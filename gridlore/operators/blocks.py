@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from gridlore.sources.shared import materialize, ship_library
 
-# Words and texts in a block: some 15 MB, with a tenth as many different words in usual texts.
-BLOCK = 2_000_000
+# Words and texts in a block: some 60 MB of words. The larger, the fewer of its words are different ones.
+BLOCK = 6_000_000
 _PLACE = 1 << 32
 
 # The codes of all texts of a block, and where each text begins and ends.
@@ -162,10 +162,11 @@ def sums(codes: Codes, found: pa.Table, values: str, width: int) -> pa.Array:
         known = lists.is_valid()
         at = _column(found, "_code").filter(known).to_numpy()
         matrix[:, at] = lists.filter(known).flatten().to_numpy().reshape(-1, width).T
-    totals = np.zeros((width, len(flat) + 1), np.int64)
+    each = np.empty((len(ends) - 1, width), np.int64)
+    totals = np.zeros(len(flat) + 1, np.int64)
     for i in range(width):
-        np.cumsum(matrix[i][flat], out=totals[i, 1:])
-    each = (totals[:, ends[1:]] - totals[:, ends[:-1]]).T
+        np.cumsum(matrix[i][flat], out=totals[1:])
+        each[:, i] = totals[ends[1:]] - totals[ends[:-1]]
     cuts = np.arange(len(each) + 1) * width
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(each.reshape(-1)))
 
