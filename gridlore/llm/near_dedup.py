@@ -214,8 +214,12 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(known.select("node", F.coalesce("_root", "root").alias("root")), "components")
 
 
-def _counters(texts: DataFrame) -> np.ndarray:
-    """In how many texts the shingles of each counter are; there are ``COUNTERS`` of them, whatever the size."""
+def _counted(texts: DataFrame) -> DataFrame:
+    """``(at, n)``: in how many texts the shingles of counter ``at`` are, several rows for a counter.
+
+    No more tasks count than there are cores, each in one table. So the rows are
+    bounded by the cores and ``COUNTERS``, however many pieces the texts come in.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(COUNTERS, np.int64)
@@ -225,8 +229,13 @@ def _counters(texts: DataFrame) -> np.ndarray:
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["at", "n"])
 
-    each = texts.select("shingles").mapInArrow(count, "at bigint, n bigint")
-    counts = each.groupBy("at").agg(F.sum("n").alias("n"))
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.select("shingles").coalesce(cores).mapInArrow(count, "at bigint, n bigint")
+
+
+def _counters(texts: DataFrame) -> np.ndarray:
+    """In how many texts the shingles of each counter are; there are ``COUNTERS`` of them, whatever the size."""
+    counts = _counted(texts).groupBy("at").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
     table = np.zeros(COUNTERS, np.int64)
     table[found.column("at").to_numpy()] = found.column("n").to_numpy()

@@ -167,6 +167,17 @@ def test_a_shared_line_makes_no_pairs(docs_of, monkeypatch):
     assert sums[1] < 4 * sums[0]
 
 
+def test_counters_do_not_grow_with_the_pieces_of_a_crowd(spark):
+    """Texts of one crowd in many pieces: each core hands out a counter once, and the sums are right."""
+    own = [(i, [7, 8, 9, 9, 100 + i]) for i in range(400)]
+    texts = spark.createDataFrame(own, "node bigint, shingles array<int>").repartition(100)
+    cores = spark.sparkContext.defaultParallelism
+    assert near_dedup._counted(texts).count() <= 400 + 3 * cores < 400 + 3 * 100
+    table = near_dedup._counters(texts)
+    assert table[[7, 8, 9]].tolist() == [400] * 3
+    assert table[100:500].tolist() == [1] * 400 and table.sum() == 3 * 400 + 400
+
+
 def test_near_copies_with_a_repeated_line_are_linked(docs_of):
     rows = []
     for group in range(20):
