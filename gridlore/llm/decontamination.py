@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlore.llm.passages import agreeing_runs
+from gridlore.llm.codec import let_go
 from gridlore.llm.shingles import lists, mix, word_hashes
 from gridlore.operators.skew import fits_broadcast
 from gridlore.sources.shared import materialize
@@ -128,6 +129,7 @@ def contaminated(
     table = spark.sparkContext.broadcast(_filter(seeds))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         low, high = table.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.llm.codec import let_go
 from gridlore.llm.components import components
 from gridlore.llm.shingles import lists, mix, shingle, word_hashes
 from gridlore.operators.skew import Limits, balanced_join, fits_broadcast, lookup
-from gridlore.sources.shared import materialize, settled
+from gridlore.sources.shared import materialize, settled, small_batches
 
 BANDS, ROWS = 25, 5
 COUNTERS = 1 << 20
@@ -119,6 +120,7 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int) -> DataF
     """A written table with a row for each document: its words' mark, bands and shingles."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -162,14 +164,13 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int) -> DataF
         F.xxhash64("_words").alias("k1"), F.xxhash64(F.lit(1), "_words").alias("k2"), "_words",
     )
     kind = hashed.schema["doc_id"].dataType.simpleString()
-    return materialize(
-        hashed.mapInArrow(
-            sign,
-            f"_row bigint, doc_id {kind}, k1 bigint, k2 bigint, "
-            "bands array<bigint>, shingles array<int>",
-        ),
-        "signed",
+    signed = hashed.mapInArrow(
+        sign,
+        f"_row bigint, doc_id {kind}, k1 bigint, k2 bigint, "
+        "bands array<bigint>, shingles array<int>",
     )
+    with small_batches(docs.sparkSession):
+        return materialize(signed, "signed")
 
 
 def _only(rows: DataFrame, written: DataFrame, key: str) -> DataFrame:
@@ -182,6 +183,7 @@ def _verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFr
     """The pairs ``(a, b)`` that are similar enough, written."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             lists_a, lists_b = batch.column(2), batch.column(3)
             good = [
@@ -197,7 +199,8 @@ def _verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFr
         own = shingles.select(F.col("_row").alias(end), F.col("shingles").alias(f"_{end}"))
         sides = sides.join(own, end)
     sides = sides.select("a", "b", "_a", "_b")
-    return materialize(sides.mapInArrow(verify, "a bigint, b bigint"), "links")
+    with small_batches(pairs.sparkSession):
+        return materialize(sides.mapInArrow(verify, "a bigint, b bigint"), "links")
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -280,7 +283,8 @@ def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
             )
 
     schema = "node bigint, root bigint, shingle int, w double, n bigint, size bigint, plain boolean"
-    return materialize(texts.select("node", "root", "shingles").mapInArrow(rarest, schema), "prefixes")
+    with small_batches(texts.sparkSession):
+        return materialize(texts.select("node", "root", "shingles").mapInArrow(rarest, schema), "prefixes")
 
 
 def _possible(apart: DataFrame, outside: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlore.llm.codec import let_go
+
 _WORD = re.compile(r"\w+")
 _QUOTES = ("«»", "»«", "“”", "„“", "‹›")
 STEMS = range(4, 8)
@@ -202,6 +204,7 @@ class Model:
 
 def _over(text: Column, terms: dict[str, float], use, kind: str) -> Column:
     def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         words = _Words(Automaton(terms))
         for batch in batches:
             yield use(batch, words)

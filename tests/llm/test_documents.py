@@ -274,6 +274,24 @@ def test_passages_with_a_word_put_in_or_left_out_are_found(docs_of):
     assert {r.doc_id: (r.first_id, r.start, r.end) for r in found} == wanted
 
 
+@pytest.mark.parametrize("module, make, tables", [
+    (near_dedup, near_dedup.near_classes, {"signed", "links"}),
+    (passages, passages.repeated_passages, {"windows", "runs"}),
+])
+def test_python_gets_words_and_shingles_in_small_batches(spark, docs_of, monkeypatch, module, make, tables):
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, module.materialize
+
+    def noted(df, name="table"):
+        seen[name] = int(spark.conf.get(key))
+        return write(df, name)
+
+    monkeypatch.setattr(module, "materialize", noted)
+    before = spark.conf.get(key)
+    make(docs_of(_passage_rows())).collect()
+    assert int(before) > 512 and spark.conf.get(key) == before
+    assert {name: seen[name] for name in tables} == dict.fromkeys(tables, 512)
+
+
 def test_cut_passages(docs_of, odd, clashing, none):
     rows = _passage_rows()
     docs = docs_of(rows).coalesce(1)

@@ -9,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from gridlore.llm import packing, token_counts, token_files
+from gridlore.llm import codec as codecs
+from gridlore.llm import packing, passages, token_counts, token_files
 from gridlore.llm.codec import Codec
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +44,21 @@ def test_codec_on_any_text(text):
 CODECS = [Codec(WORD, memory=100), Codec(BYTE, memory=100)]
 
 
+def test_later_stages_free_the_tokenizer_of_a_worker(monkeypatch):
+    """A worker that has packed goes on to other stages and must not hold the codec for them."""
+    made = {}
+    monkeypatch.setattr(codecs, "_CODECS", made)
+    codecs.codec(public_tokenizers.path("byte_bpe_50k.json"))
+    assert len(made) == 1
+
+    class Taken:
+        def mapInArrow(self, function, schema):
+            return list(function(iter([])))
+
+    pairs = Taken()
+    assert passages._agreeing(pairs, 46, 0.8) == [] and not made
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 @pytest.mark.parametrize("chunk, overlap", [(64, 8), (300, 40), (1000, 16)])
 def test_spliced_chunks_count_like_the_whole(path, chunk, overlap):
