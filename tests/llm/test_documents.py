@@ -261,6 +261,42 @@ def test_passages_with_replaced_words_are_found(docs_of, size, replaced):
     assert spans == {100 + i: (i, 60, 60 + size) for i in range(40)}
 
 
+@pytest.mark.parametrize("held", [30, 45])
+def test_phrases_that_earlier_documents_share_hide_no_passage(docs_of, held):
+    rows, wanted = [], {}
+    for i in range(30):
+        own = words(("p", i), 60)
+        for j in range(20 if i < 3 else 6):
+            at = j * (60 - held) // 5 % (61 - held)
+            rows.append((100 * j + i, " ".join(words(("a", i, j), 40) + own[at : at + held] + words(("b", i, j), 40))))
+        rows.append((5000 + i, " ".join(words(("c", i), 60) + own + words(("d", i), 60))))
+        own = list(own)
+        own[20], own[40] = "new", "other"
+        rows.append((6000 + i, " ".join(words(("e", i), 60) + own + words(("f", i), 60))))
+        wanted[6000 + i] = (5000 + i, 60, 120)
+    rows.sort()
+    found = passages.repeated_passages(docs_of(rows).coalesce(1)).collect()
+    assert {r.doc_id: (r.first_id, r.start, r.end) for r in found if r.doc_id >= 6000} == wanted
+
+
+def test_chains_and_least_places():
+    own = np.random.default_rng(5)
+    for _ in range(50):
+        keys, places = own.integers(0, 4, 40).astype(np.uint64), np.cumsum(own.integers(1, 3, 40))
+        got = defaultdict(set)
+        for first, last, step in zip(*passages.chains(keys, places)):
+            assert keys[first] == keys[last]
+            got[int(keys[first])].update(range(places[first], places[last] + 1, step or 1))
+        assert got == {int(k): set(places[keys == k].tolist()) for k in keys}
+        order, ends = own.integers(1, 30, 40).astype(np.uint32), np.array([0, 3, 18, 18, 40])
+        wanted = set()
+        for x, y in zip(ends, ends[1:]):
+            for i in range(x, y - 9):
+                wanted.update(j for j in range(i, i + 10) if order[j] <= sorted(order[i : i + 10])[2])
+        # A place is kept if it is in one interval that it is least in.
+        assert set(passages.least_places(order, ends, 10, 3).tolist()) == wanted
+
+
 def test_passages_with_a_word_put_in_or_left_out_are_found(docs_of):
     rows, wanted = [], {}
     for i, size in enumerate((50, 51, 60, 75, 90, 98) * 5):
